@@ -5,7 +5,13 @@ from __future__ import annotations
 
 def catalog():
     """All registered queries by name."""
-    from tidemark.queries import models_on_tables, operators_on_tables  # noqa: F401
+    from tidemark.queries import (  # noqa: F401
+        incremental_on_tables,
+        models_on_tables,
+        operators_on_tables,
+        quality_on_tables,
+        streams_on_tables,
+    )
     from tidemark.queries.registry import REGISTRY
 
     return dict(REGISTRY)

@@ -309,7 +309,7 @@ F2_SQL = (
 
 
 def nation_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders per nation and day. Pre-aggregated per customer and day, so the join moves sums, not orders."""
+    """Orders per nation and day. A hot customer is left to the adaptive skew join, as no hint pins the join."""
     orders = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("day"),
         exact(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
