@@ -1,0 +1,32 @@
+"""Every registered query against its oracle at the smallest scale."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entrypoint
+from tests.compare import differences, duck, duck_rows, spark_rows
+
+QUERIES = entrypoint.queries()
+ORACLES = entrypoint.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf):
+    return duck(sf)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(name, spark, sf, con):
+    assert name in ORACLES, "every query of this repository can be said in SQL"
+    assert differences(spark_rows(QUERIES[name](spark, sf)), duck_rows(con, ORACLES[name])) == []
+
+
+def test_entry_returns_rows(spark, sf):
+    df = entrypoint.entry(spark)
+    assert df.count() > 0
+    assert "comfort_index" in df.columns
+
+
+def test_no_query_name_is_reserved():
+    assert not [n for n in QUERIES if n.startswith("op") and n[2:3].isdigit() or "pipeline" in n or "llm" in n]

@@ -9,6 +9,7 @@ partition and a run reads and rewrites only the partitions its batch touches. A
 3. write the batch once to a staging folder (computed once, no lineage to replay),
 4. merge with the stored rows of the touched partitions and overwrite just those.
 
+The first load and a full refresh have nothing to merge with and write the target directly.
 One writer per target; a run that is repeated after a failure converges to the same rows.
 """
 
@@ -141,18 +142,29 @@ def merge_ranked(stored: DataFrame, batch: DataFrame, key: str, ranking: Ranking
     return keep_latest(stored.unionByName(batch), ranking, ignore=(key,))
 
 
+def _observed(batch: DataFrame, table: Table) -> tuple[DataFrame, Observation]:
+    """The batch with its highest cursor measured by the job that writes it."""
+    seen = Observation()
+    return batch.observe(seen, F.max(F.col(table.cursor).cast("timestamp_ntz")).alias("mark")), seen
+
+
 def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tuple[DataFrame, list[str], datetime | None]:
     """Write the batch once; its days come from the folder names, its mark from the write itself."""
     folder = f"{root}/_batches/{table.name}"
-    seen = Observation()
-    marked = batch.observe(seen, F.max(F.col(table.cursor).cast("timestamp_ntz")).alias("mark"))
+    marked, seen = _observed(batch, table)
     marked.write.mode("overwrite").partitionBy(table.partition).parquet(folder)
     days = paths.partition_values(spark, folder, table.partition)
     if not days:
-        return batch, [], None
+        return batch.limit(0), [], None
     return spark.read.schema(batch.schema).parquet(folder).select(*batch.columns), days, _as_datetime(seen.get["mark"])
 
 
+def _load_all(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> None:
+    marked, seen = _observed(batch, table)
+    write_partitioned(marked, table.path(root), table.partition)
+    _record_mark(spark, root, table, _as_datetime(seen.get["mark"]))
+
+
 def _record_mark(spark: SparkSession, root: str, table: Table, mark: datetime | None) -> None:
     if mark is not None and not table.aligned:
         row = spark.range(1).select(ntz(mark).alias("mark"))
@@ -170,13 +182,12 @@ def delete_insert(
 ) -> None:
     """Put a batch into the target by key (or by range), touching only the partitions involved."""
     path = table.path(root)
-    staged, days, batch_mark = _stage(spark, root, table, batch)
     present = paths.partition_values(spark, path, table.partition)
     if not present:
-        write_partitioned(staged, path, table.partition)
-        _record_mark(spark, root, table, batch_mark)
+        _load_all(spark, root, table, batch)
         return
 
+    staged, days, batch_mark = _stage(spark, root, table, batch)
     replaced = set(days)
     by_range = table.replace_range and bound is not None
     if by_range:
@@ -216,9 +227,7 @@ def refresh(
 ) -> None:
     """Run an incremental table once: restrict its sources, build the batch, replace."""
     if full_refresh:
-        staged, _, mark = _stage(spark, root, table, build(**sources))
-        write_partitioned(staged, table.path(root), table.partition)
-        _record_mark(spark, root, table, mark)
+        _load_all(spark, root, table, build(**sources))
         return
     mark = high_water_mark(spark, root, table)
     bound = lookback_bound(mark, table.lookback)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,11 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@cache
+def _local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session.
 
@@ -45,6 +51,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        base = _local_scratch(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
