@@ -19,6 +19,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,6 +149,14 @@ def _observed(batch: DataFrame, table: Table) -> tuple[DataFrame, Observation]:
     return batch.observe(seen, F.max(F.col(table.cursor).cast("timestamp_ntz")).alias("mark")), seen
 
 
+def _mark_of(seen: Observation) -> datetime | None:
+    """The measured mark; None for a batch that was planned away as empty and never ran."""
+    try:
+        return _as_datetime(seen.get.get("mark"))
+    except Py4JJavaError:
+        return None
+
+
 def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tuple[DataFrame, list[str], datetime | None]:
     """Write the batch once; its days come from the folder names, its mark from the write itself."""
     folder = f"{root}/_batches/{table.name}"
@@ -156,17 +165,22 @@ def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tu
     days = paths.partition_values(spark, folder, table.partition)
     if not days:
         return batch.limit(0), [], None
-    return spark.read.schema(batch.schema).parquet(folder).select(*batch.columns), days, _as_datetime(seen.get["mark"])
+    return spark.read.schema(batch.schema).parquet(folder).select(*batch.columns), days, _mark_of(seen)
 
 
 def _load_all(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> None:
     marked, seen = _observed(batch, table)
     write_partitioned(marked, table.path(root), table.partition)
-    _record_mark(spark, root, table, _as_datetime(seen.get["mark"]))
+    _record_mark(spark, root, table, _mark_of(seen))
 
 
 def _record_mark(spark: SparkSession, root: str, table: Table, mark: datetime | None) -> None:
-    if mark is not None and not table.aligned:
+    """Without a mark the next run reads it from the table, so an outdated record is removed."""
+    if table.aligned:
+        return
+    if mark is None:
+        paths.remove(spark, _mark_path(root, table))
+    else:
         row = spark.range(1).select(ntz(mark).alias("mark"))
         row.coalesce(1).write.mode("overwrite").parquet(_mark_path(root, table))
 

@@ -41,6 +41,10 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(unquote(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
-def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    fs, p = _fs(spark, f"{path}/{column}={value}")
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    remove(spark, f"{path}/{column}={value}")
