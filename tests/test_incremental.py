@@ -14,7 +14,7 @@ from tidemark.operators.dedupe import Ranking, keep_latest
 from tidemark.operators.incremental import Restriction, Table
 from tidemark.plans import models as m
 from tidemark.plans.warehouse import INCREMENTAL, Warehouse
-from tidemark.sources import landing, paths
+from tidemark.sources import landing, partitions, paths
 
 NOW = datetime(2026, 1, 10)
 RANK = Ranking(("k", "day"), ("seen",), ("v",))
@@ -109,6 +109,26 @@ def test_only_touched_partitions_are_rewritten(spark, root):
     assert [r[3] for r in _stored(spark, root)] == [1, 5, 6]
 
 
+def test_interrupted_replacement_is_completed_by_the_next_run(spark, root):
+    at, day = datetime(2026, 1, 1), timedelta(days=1)
+    _refresh(spark, root, _source(spark, [("a", at, at, 1), ("a", at + day, at + day, 1)]))
+    path = TABLE.path(root)
+    swap = partitions._swap_path(path)
+    changed = inc.read_table(spark, path).withColumn("v", F.lit(7))
+    # the run wrote everything and died after it had removed one old partition
+    partitions.write_table(changed, swap, "day")
+    paths.touch(spark, f"{swap}/{partitions.READY}")
+    paths.remove_partition(spark, path, "day", "2026-01-01")
+    _refresh(spark, root, _source(spark, []))
+    assert [r[3] for r in _stored(spark, root)] == [7, 7]
+    # a run that died while writing leaves the table as it was
+    partial = inc.read_table(spark, path).withColumn("v", F.lit(9)).limit(1)
+    partitions.write_table(partial, swap, "day")
+    _refresh(spark, root, _source(spark, []))
+    assert [r[3] for r in _stored(spark, root)] == [7, 7]
+    assert not paths.exists(spark, swap)
+
+
 def test_key_replace_stores_a_whole_batch(spark, root):
     table = Table("t", "marts", "k", "day", "day", timedelta(days=2), inclusive=True)
     src = spark.createDataFrame([("a", "2026-01-01", 1), ("b", "2026-01-01", 1)], "k string, day string, v int").withColumn("day", F.to_date("day"))

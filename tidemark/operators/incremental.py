@@ -7,7 +7,7 @@ partition and a run reads and rewrites only the partitions its batch touches. A
 2. restrict the sources to ``mark - lookback`` (a literal, so it reaches the scan and prunes
    partitions),
 3. write the batch once to a staging folder (computed once, no lineage to replay),
-4. merge with the stored rows of the touched partitions and overwrite just those.
+4. merge with the stored rows of the touched partitions and replace just those.
 
 The first load and a full refresh have nothing to merge with and write the target directly.
 One writer per target; a run that is repeated after a failure converges to the same rows.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import ntz
 from tidemark.operators.dedupe import Ranking, keep_latest
 from tidemark.sources import paths
+from tidemark.sources.partitions import finish_replacement, replace_partitions, write_table
 
 
 @dataclass(frozen=True)
@@ -71,18 +72,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str, dynamic: bool = False) -> None:
-    """Overwrite a table, or with ``dynamic`` only the partitions that ``df`` holds.
-
-    The rebalance hint gathers each date before the write: without it every shuffle task would
-    leave one small file per date. Adaptive execution splits a hot date over several tasks.
-    """
-    writer = df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
 def _mark_path(root: str, table: Table) -> str:
     return f"{root}/_marks/{table.name}"
 
@@ -170,7 +159,7 @@ def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tu
 
 def _load_all(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> None:
     marked, seen = _observed(batch, table)
-    write_partitioned(marked, table.path(root), table.partition)
+    write_table(marked, table.path(root), table.partition)
     _record_mark(spark, root, table, _mark_of(seen))
 
 
@@ -196,6 +185,7 @@ def delete_insert(
 ) -> None:
     """Put a batch into the target by key (or by range), touching only the partitions involved."""
     path = table.path(root)
+    finish_replacement(spark, path, table.partition)
     present = paths.partition_values(spark, path, table.partition)
     if not present:
         _load_all(spark, root, table, batch)
@@ -223,7 +213,7 @@ def delete_insert(
     else:
         merged = merge_by_key(stored, staged, table.key)
     if set(touched) - set(emptied) or days:
-        write_partitioned(merged, path, table.partition, dynamic=True)
+        replace_partitions(spark, merged, path, table.partition)
     for d in emptied:
         paths.remove_partition(spark, path, table.partition, d)
     _record_mark(spark, root, table, max((m for m in (mark, batch_mark) if m), default=None))
@@ -243,6 +233,7 @@ def refresh(
     if full_refresh:
         _load_all(spark, root, table, build(**sources))
         return
+    finish_replacement(spark, table.path(root), table.partition)
     mark = high_water_mark(spark, root, table)
     bound = lookback_bound(mark, table.lookback)
     recent = {
@@ -263,12 +254,13 @@ def backfill_keys(df: DataFrame, key: str, new_key: Column) -> DataFrame:
 
 
 def rewrite_keys(spark: SparkSession, root: str, table: Table, new_key: Column) -> int:
-    """Backfill a stored table in place, one partition set at a time through dynamic overwrite."""
+    """Backfill a stored table in place; the row count must stay."""
     path = table.path(root)
+    finish_replacement(spark, path, table.partition)
     before = read_table(spark, path).count()
     columns = read_table(spark, path).columns
     fixed = backfill_keys(read_table(spark, path), table.key, new_key).select(*columns)
-    write_partitioned(fixed, path, table.partition, dynamic=True)
+    replace_partitions(spark, fixed, path, table.partition)
     after = read_table(spark, path).count()
     if before != after:
         raise RuntimeError(f"{table.name}: {before} rows before the backfill, {after} after")

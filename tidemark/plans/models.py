@@ -272,7 +272,12 @@ TEMPERATURE_HIT = 2
 
 def forecast_accuracy(forecast: DataFrame, weather: DataFrame, as_of: datetime) -> DataFrame:
     """Score every matured issuance against what was observed in its target hour."""
-    matured = forecast.filter((F.col("forecast_at") < ntz(as_of)) & (F.col("lead_time_hours") >= 0))
+    # the date bound is implied by the time bound; it skips partitions of the stored history
+    matured = forecast.filter(
+        (F.col("forecast_at") < ntz(as_of))
+        & (F.col("forecast_date_utc") <= F.lit(as_of.date()))
+        & (F.col("lead_time_hours") >= 0)
+    )
     actual = weather.groupBy("city", hour_of("observed_at").alias("_hour")).agg(
         avg_rounded("temp_celsius", 2).alias("actual_temp_celsius"),
         sum_or_zero("rain_1h_mm", 2).alias("actual_rain_mm"),
@@ -360,7 +365,9 @@ def city_daily(weather: DataFrame, pollution: DataFrame, traffic: DataFrame, cit
 def forecast_latest(forecast: DataFrame, as_of: datetime) -> DataFrame:
     """Newest prediction of every slot that has not passed yet."""
     this_hour = as_of.replace(minute=0, second=0, microsecond=0)
-    ahead = forecast.filter(F.col("forecast_at") >= ntz(this_hour))
+    ahead = forecast.filter(
+        (F.col("forecast_at") >= ntz(this_hour)) & (F.col("forecast_date_utc") >= F.lit(this_hour.date()))
+    )
     newest = keep_latest(ahead, Ranking(("city", "forecast_at"), ("issued_at",)))
     return newest.select(
         surrogate_key("city", "forecast_at").alias("forecast_slot_key"),

@@ -17,6 +17,7 @@ from tidemark.operators.checks import TableTests, run_tests
 from tidemark.operators.incremental import Restriction, Table
 from tidemark.operators.staging import build_staging
 from tidemark.plans import models as m
+from tidemark.session import use_utc
 from tidemark.sources import config as cfg
 from tidemark.sources import landing, paths
 from tidemark.sources.feeds import FEEDS
@@ -221,6 +222,9 @@ class Warehouse:
     mappings: dict[str, list] = field(default_factory=lambda: dict(FIELD_MAPPINGS))
     compare_existing: bool = True
 
+    def __post_init__(self) -> None:
+        use_utc(self.spark)
+
     def path(self, name: str) -> str:
         layer = "intermediate" if name.startswith("int_") else "marts"
         return f"{self.root}/{layer}/{name}"

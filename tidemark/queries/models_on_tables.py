@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.plans import models as m
 from tidemark.queries import derived as d
 from tidemark.queries.oracle import model_sql
-from tidemark.queries.registry import query
+from tidemark.queries.registry import query, stored
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -39,12 +39,26 @@ MODELS: dict[str, Build] = {
     "fct_forecast_accuracy": composed(
         m.forecast_accuracy, "int_city_weather_forecast", "int_city_hourly_weather", as_of=d.AS_OF
     ),
-    "mart_city_daily": composed(m.city_daily, "fct_weather_daily", "fct_pollution_daily", "fct_traffic_daily", "dim_city"),
+    "mart_city_daily": lambda spark, sf: wide_city_day(spark, sf),
     "mart_forecast_latest": composed(m.forecast_latest, "int_city_weather_forecast", as_of=d.AS_OF),
     "mart_temperature_trends": composed(m.temperature_trends, "fct_weather_daily"),
     "mart_weather_alerts": composed(m.weather_alerts, "mart_forecast_latest"),
     "mart_pollution_alerts": composed(m.pollution_alerts, "fct_pollution_hourly"),
 }
 
+
+def wide_city_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table over stored hourly facts: the city dimension and the daily facts share them."""
+    weather = stored(MODELS["int_city_hourly_weather"](spark, sf), "hourly-weather")
+    flow = stored(MODELS["int_city_hourly_traffic_flow"](spark, sf), "hourly-flow")
+    incidents = MODELS["int_city_hourly_traffic_incidents"](spark, sf)
+    return m.city_daily(
+        m.weather_daily(weather),
+        MODELS["fct_pollution_daily"](spark, sf),
+        m.traffic_daily(flow, incidents),
+        m.dim_city(weather, flow),
+    )
+
+
 for _name, _build in MODELS.items():
     query(_name, model_sql(_name))(_build)

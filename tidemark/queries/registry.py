@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import use_utc
+from tidemark.session import scratch_dir, use_utc
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -56,3 +56,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result that several branches read to shared scratch space, and read it back.
+
+    Without it each branch would repeat the scan and the dedupe; the file also cuts the lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

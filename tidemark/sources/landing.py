@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import ntz
 from tidemark.sources import paths
 from tidemark.sources.feeds import FEEDS, Feed
+from tidemark.sources.partitions import finish_replacement, replace_partitions
 
 PARTITION = "extracted_date"
 
@@ -80,6 +81,15 @@ def append_snapshot(records: DataFrame, root: str, feed: str, extracted_at: date
     rows.write.mode("append").partitionBy(PARTITION).parquet(landing_path(root, feed))
 
 
+def newest_days(spark: SparkSession, root: str, feed: str, days: int = 2) -> DataFrame:
+    """Landing rows of the last extract days, found by folder name; holds the latest batch."""
+    present = paths.partition_values(spark, landing_path(root, feed), PARTITION)
+    landing = read_landing(spark, root, feed)
+    if not present:
+        return landing
+    return landing.filter(F.col(PARTITION) > F.lit(date.fromisoformat(present[-1]) - timedelta(days=days)))
+
+
 def newest_extract(landing: DataFrame):
     """Time of the newest extract, or None; reads one column."""
     return landing.agg(F.max("extracted_at").cast("timestamp_ntz").alias("m")).first()["m"]
@@ -106,6 +116,7 @@ def prune(spark: SparkSession, root: str, feed: str, as_of: datetime, days: int
     """
     days = FEEDS[feed].retention_days if days is None else days
     path = landing_path(root, feed)
+    finish_replacement(spark, path, PARTITION)
     boundary = (as_of - timedelta(days=days)).date().isoformat()
     present = paths.partition_values(spark, path, PARTITION)
     if boundary in present:
@@ -114,12 +125,7 @@ def prune(spark: SparkSession, root: str, feed: str, as_of: datetime, days: int
         if kept.isEmpty():
             paths.remove_partition(spark, path, PARTITION, boundary)
         else:
-            (
-                kept.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(PARTITION)
-                .parquet(path)
-            )
+            replace_partitions(spark, kept, path, PARTITION)
     for value in present:
         if value < boundary:
             paths.remove_partition(spark, path, PARTITION, value)

@@ -18,11 +18,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
-
-
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when a Parquet dataset was committed here (a written, possibly empty, table)."""
     fs, p = _fs(spark, path)
@@ -48,3 +43,18 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     remove(spark, f"{path}/{column}={value}")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one."""
+    fs, src = _fs(spark, source)
+    _, dst = _fs(spark, target)
+    fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
