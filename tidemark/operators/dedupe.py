@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Ranking:
-    """Which row of a key wins: newest ``order`` first, then ``tie_break`` highest first."""
+    """Which row of a key wins: newest ``order`` first, then ``tie_break`` highest first.
+
+    ``total`` says that the input holds no two rows of a key with the same order, so that no row
+    hash is needed to decide and columns that nobody reads stay out of the scan.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     tie_break: tuple[str, ...] = ()
+    total: bool = False
 
 
 def keep_latest(df: DataFrame, ranking: Ranking, ignore: Sequence[str] = ()) -> DataFrame:
@@ -26,11 +31,11 @@ def keep_latest(df: DataFrame, ranking: Ranking, ignore: Sequence[str] = ()) ->
     ``row_number() = 1`` lets Spark keep one row per key and task before the shuffle, which
     also flattens a hot key.
     """
-    content = [c for c in df.columns if c not in ignore]
+    content = [] if ranking.total else [c for c in df.columns if c not in ignore]
     best_first = Window.partitionBy(*ranking.keys).orderBy(
         *[F.desc_nulls_first(c) for c in ranking.order],
         *[F.desc_nulls_last(c) for c in ranking.tie_break],
-        F.xxhash64(*content).desc(),
+        *([F.xxhash64(*content).desc()] if content else []),
     )
     return df.withColumn("_rn", F.row_number().over(best_first)).filter("_rn = 1").drop("_rn")
 

@@ -368,7 +368,8 @@ def forecast_latest(forecast: DataFrame, as_of: datetime) -> DataFrame:
     ahead = forecast.filter(
         (F.col("forecast_at") >= ntz(this_hour)) & (F.col("forecast_date_utc") >= F.lit(this_hour.date()))
     )
-    newest = keep_latest(ahead, Ranking(("city", "forecast_at"), ("issued_at",)))
+    # (city, forecast_at, issued_at) is the key of the history, so newest issuance decides alone
+    newest = keep_latest(ahead, Ranking(("city", "forecast_at"), ("issued_at",), total=True))
     return newest.select(
         surrogate_key("city", "forecast_at").alias("forecast_slot_key"),
         surrogate_key("city").alias("city_key"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import hour_of
 from tidemark.operators.staging import build_staging
-from tidemark.queries.registry import table
+from tidemark.queries.registry import spread, table
 from tidemark.sources.feeds import FEEDS
 from tidemark.sources.landing import PARTITION
 from tidemark.sources.mappings import FIELD_MAPPINGS
@@ -115,7 +115,8 @@ def syncs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp_ntz")
     value = F.col("value").cast("decimal(18,2)")
     both = F.explode(F.array(F.lit(0), F.lit(1))).alias("n")
-    base = table(spark, sf_dir, "events").select(
+    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value", "props"))
+    base = events.select(
         "event_id", "user_id", "event_type", ts.alias("ts"), F.get_json_object("props", "$.k").cast("int").alias("k"),
         value.alias("value"), both,
     )
