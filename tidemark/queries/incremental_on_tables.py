@@ -18,7 +18,7 @@ from tidemark.plans import models as m
 from tidemark.plans.warehouse import Warehouse
 from tidemark.queries import derived as d
 from tidemark.queries.models_on_tables import MODELS
-from tidemark.queries.oracle import model_sql
+from tidemark.queries.oracle import model_sql, nullable
 from tidemark.queries.registry import query
 from tidemark.session import scratch_dir
 from tidemark.sources import landing as land
@@ -79,7 +79,7 @@ def incr_issuance(spark, sf):
     return final(house, "int_city_weather_forecast", MODELS["int_city_weather_forecast"](spark, sf))
 
 
-@query("incr_accuracy", model_sql("fct_forecast_accuracy"))
+@query("incr_accuracy", model_sql("fct_forecast_accuracy"), nullable("fct_forecast_accuracy"))
 def incr_accuracy(spark, sf):
     house = load(
         spark, sf, ("weather_forecast", "current_weather"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import models as m
 from tidemark.queries import derived as d
-from tidemark.queries.oracle import model_sql
+from tidemark.queries.oracle import model_sql, nullable
 from tidemark.queries.registry import query, stored
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -61,4 +61,4 @@ def wide_city_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 for _name, _build in MODELS.items():
-    query(_name, model_sql(_name))(_build)
+    query(_name, model_sql(_name), nullable(_name))(_build)

@@ -413,12 +413,13 @@ _NC = "CAST(coalesce(avg_discount, 0.5) * 1000 AS HUGEINT)"
     "J AS (SELECT * FROM B LEFT JOIN F1 USING (nation, day) LEFT JOIN F2 USING (nation, day) LEFT JOIN E USING (nation, day) "
     "LEFT JOIN (SELECT n_nationkey AS nation, n_name AS name FROM nation) USING (nation)), "
     f"S AS (SELECT *, {o.half_up(f'(4 * {_NT} + 30 * (500 - {_NA}) + 6 * (1000 - {_NC}))', '30000', 3)} AS score FROM J) "
-    f"SELECT {o.key('nation', 'day')} AS nation_date_key, nation, name, CAST(day AS VARCHAR) AS day, orders, items, "
+    f"SELECT {o.key('nation', 'day')} AS nation_date_key, nation, name, CAST(day AS VARCHAR) AS day, CAST(orders AS DOUBLE) AS orders, CAST(items AS DOUBLE) AS items, "
     "CAST(avg_total AS DOUBLE) AS avg_total, CAST(avg_discount AS DOUBLE) AS avg_discount, CAST(avg_code AS DOUBLE) AS avg_code, "
     "CAST(score AS DOUBLE) AS comfort_index, CAST(score AS DOUBLE) AS livability_score, "
     "CASE WHEN score IS NULL THEN 'No data' WHEN score < 0.25 THEN 'Poor' WHEN score < 0.5 THEN 'Fair' WHEN score < 0.75 THEN 'Good' ELSE 'Excellent' END "
     "AS comfort_index_label, CASE WHEN avg_discount IS NULL THEN 'No data' WHEN avg_discount < 0.2 THEN 'Low' WHEN avg_discount < 0.4 THEN 'Moderate' "
-    "WHEN avg_discount < 0.6 THEN 'High' ELSE 'Severe' END AS congestion_label, poor > 2 AS aqi_alert FROM S",
+    "WHEN avg_discount < 0.6 THEN 'High' ELSE 'Severe' END AS congestion_label, CAST(poor > 2 AS VARCHAR) AS aqi_alert FROM S",
+    ("orders", "items", "aqi_alert"),
 )
 def obt_daily(spark, sf):
     """Wide nation-day table over three daily facts of different coverage."""

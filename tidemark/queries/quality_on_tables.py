@@ -98,18 +98,23 @@ def audit(spark: SparkSession, sf: str) -> DataFrame:
     return contract.stream_audit(landing, "current_weather", FIELDS, RULES, RUN_AT, WINDOW_MINUTES)
 
 
-@query("contract_audit", f"{AUDIT_SQL} SELECT * FROM a{_CERTIFY}")
+COUNTS = ("rows_checked", "null_count")
+_COUNTS = "* REPLACE (CAST(rows_checked AS DOUBLE) AS rows_checked, CAST(null_count AS DOUBLE) AS null_count)"
+
+
+@query("contract_audit", f"{AUDIT_SQL} SELECT {_COUNTS} FROM (SELECT * FROM a{_CERTIFY})", COUNTS)
 def contract_audit(spark, sf):
     return audit(spark, sf).drop("detail")
 
 
 @query(
     "contract_certified",
-    f"{chain('stg_air_pollution')} SELECT 'air_pollution' AS stream_name, c.target_column, c.check_type, c.status, c.severity, "
+    f"{chain('stg_air_pollution')} SELECT {_COUNTS} FROM (SELECT 'air_pollution' AS stream_name, c.target_column, c.check_type, c.status, c.severity, "
     "CAST((SELECT count(*) FROM stg_air_pollution WHERE extracted_at >= (SELECT max(extracted_at) FROM stg_air_pollution) - INTERVAL 5 MINUTE) AS BIGINT) "
     "AS rows_checked, CAST(c.nulls AS BIGINT) AS null_count FROM (VALUES ('city', 'required', 'ok', 'error', 0), ('aqi', 'required', 'ok', 'error', 0), "
     "('pm2_5_ug_m3', 'required', 'ok', 'error', 0), ('observed_at', 'required', 'ok', 'error', 0), (NULL, 'min_row_count', 'ok', 'error', NULL), "
-    "('aqi', 'accepted_values', 'ok', 'error', NULL), (NULL, 'certify', 'certified', 'warn', NULL)) AS c(target_column, check_type, status, severity, nulls)",
+    "('aqi', 'accepted_values', 'ok', 'error', NULL), (NULL, 'certify', 'certified', 'warn', NULL)) AS c(target_column, check_type, status, severity, nulls))",
+    COUNTS,
 )
 def contract_certified(spark, sf):
     """The seeded rules of a clean feed over its latest batch: everything passes, the stream is certified."""

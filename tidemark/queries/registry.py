@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +24,18 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Output types that both engines print alike: decimals as doubles, dates as text, times naive."""
+def portable(df: DataFrame, nullable: Sequence[str] = ()) -> DataFrame:
+    """Output types that both engines print alike.
+
+    Decimals become doubles, dates text, times naive. Integers and booleans that can be NULL are
+    named in ``nullable``: they become doubles and text, as neither has a common NULL form.
+    """
 
     def out(f: T.StructField):
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, T.DecimalType) or (f.name in nullable and isinstance(f.dataType, T.IntegralType)):
             return c.cast("double").alias(f.name)
-        if isinstance(f.dataType, T.DateType):
+        if isinstance(f.dataType, T.DateType) or f.name in nullable:
             return c.cast("string").alias(f.name)
         if isinstance(f.dataType, T.TimestampType):
             return c.cast("timestamp_ntz").alias(f.name)
@@ -40,11 +44,11 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[out(f) for f in df.schema.fields])
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
+def query(name: str, sql: str | None = None, nullable: Sequence[str] = ()) -> Callable[[Plan], Plan]:
     def register(plan: Plan) -> Plan:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
-            return portable(plan(spark, sf_dir))
+            return portable(plan(spark, sf_dir), nullable)
 
         run.__name__ = plan.__name__
         run.__doc__ = plan.__doc__
