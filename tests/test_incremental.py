@@ -57,6 +57,18 @@ def test_random_batches_equal_full_refresh(spark, root, seed):
     assert _stored(spark, f"{root}/inc") == before
 
 
+def test_hot_key_gives_the_same_rows(spark, root):
+    """A third of all rows share one key and day; the result is that of the plain ranking."""
+    at = datetime(2026, 1, 1)
+    hot = [("hot", at, at + timedelta(seconds=i), i % 7) for i in range(3000)]
+    rest = [(f"k{i}", at + timedelta(days=i % 3), at + timedelta(seconds=i), i) for i in range(6000)]
+    src = _source(spark, hot + rest).repartition(8)
+    _refresh(spark, root, src.filter("seen < timestamp'2026-01-01 00:30:00'"))
+    _refresh(spark, root, src)
+    stored = {(r[0], r[1]): r for r in _stored(spark, root)}
+    assert len(stored) == 6001 and stored["hot", at.date()][2] == at + timedelta(seconds=2999)
+
+
 def test_empty_target_loads_everything(spark, root):
     _refresh(spark, root, _source(spark, []))
     assert inc.high_water_mark(spark, root, TABLE) is None
@@ -113,20 +125,25 @@ def test_interrupted_replacement_is_completed_by_the_next_run(spark, root):
     at, day = datetime(2026, 1, 1), timedelta(days=1)
     _refresh(spark, root, _source(spark, [("a", at, at, 1), ("a", at + day, at + day, 1)]))
     path = TABLE.path(root)
-    swap = partitions._swap_path(path)
+    swap = partitions.swap_path(path)
     changed = inc.read_table(spark, path).withColumn("v", F.lit(7))
     # the run wrote everything and died after it had removed one old partition
-    partitions.write_table(changed, swap, "day")
+    partitions._write(changed, swap, "day")
     paths.touch(spark, f"{swap}/{partitions.READY}")
     paths.remove_partition(spark, path, "day", "2026-01-01")
     _refresh(spark, root, _source(spark, []))
     assert [r[3] for r in _stored(spark, root)] == [7, 7]
     # a run that died while writing leaves the table as it was
     partial = inc.read_table(spark, path).withColumn("v", F.lit(9)).limit(1)
-    partitions.write_table(partial, swap, "day")
+    partitions._write(partial, swap, "day")
     _refresh(spark, root, _source(spark, []))
     assert [r[3] for r in _stored(spark, root)] == [7, 7]
     assert not paths.exists(spark, swap)
+    # a full refresh that died after writing everything replaces the whole table
+    partitions._write(_build(_source(spark, [("z", at, at, 3)])), swap, "day")
+    paths.touch(spark, f"{swap}/{partitions.READY_ALL}")
+    _refresh(spark, root, _source(spark, []))
+    assert [r[0] for r in _stored(spark, root)] == ["z"]
 
 
 def test_key_replace_stores_a_whole_batch(spark, root):

@@ -126,6 +126,7 @@ def test_hourly_runs_end_to_end(spark, root):
     assert sorted(result.certified) == sorted(FEEDS) and not result.warnings
     _sync_all(spark, root, "2026-01-05 12:30:00", aqi=5)
     house.run(datetime(2026, 1, 5, 13), config, "run-2")
+    assert house.written["int_city_hourly_weather"] == ["2026-01-05"] and house.written["fct_weather_daily"] == ["2026-01-05"]
     results = house.test({**INTERMEDIATE_TESTS, **MART_TESTS}).collect()
     assert len(results) == 82 and not [r for r in results if r["violations"]]
     wide = house.table("mart_city_daily").filter("city = 'Berlin'").first()

@@ -36,7 +36,7 @@ def test_restarted_stream_equals_batch(spark, root):
     ]
     for at, *readings in arrivals:
         _sync(spark, root, at, *readings)
-        sink = streams.keyed_replace(spark, root, TARGET, m.hourly_pollution)
+        sink = streams.keyed_replace(root, TARGET, m.hourly_pollution)
         streams.run_available(_staged_stream(spark, root), sink, f"{root}/_ck/a", "append")
     stored = read_table(spark, TARGET.path(root))
     expected = _batch(spark, root)
@@ -46,13 +46,13 @@ def test_restarted_stream_equals_batch(spark, root):
 
 
 def test_stateful_dedupe_equals_batch(spark, root):
-    sink = streams.keyed_replace(spark, root, TARGET, lambda b: b.select(m.city_hour_key().alias("city_hour_key"), "*"))
+    sink = streams.keyed_replace(root, TARGET, lambda b: b.select(m.city_hour_key().alias("city_hour_key"), "*"))
     for at, *readings in [
         ("2026-01-05 10:00:00", ("A", "2026-01-05 09:10:00", 1), ("A", "2026-01-05 09:40:00", 2)),
         ("2026-01-05 11:00:00", ("A", "2026-01-05 09:30:00", 3), ("A", "2026-01-05 10:10:00", 4)),
     ]:
         _sync(spark, root, at, *readings)
-        rows = m._observed(_staged_stream(spark, root), (), m.POLLUTION_MEASURES)
+        rows = m.observed_rows(_staged_stream(spark, root), (), m.POLLUTION_MEASURES)
         streams.run_available(streams.hourly_dedupe(rows, ["city"], "observed_at", m.POLLUTION_RANK), sink, f"{root}/_ck/b")
     expected = _batch(spark, root)
     assert h.rows(read_table(spark, TARGET.path(root)).select(*expected.columns)) == h.rows(expected)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import ntz
 from tidemark.operators.dedupe import Ranking, keep_latest
 from tidemark.sources import paths
-from tidemark.sources.partitions import finish_replacement, replace_partitions, write_table
+from tidemark.sources.partitions import finish_replacement, replace_partitions, replace_table
 
 
 @dataclass(frozen=True)
@@ -159,7 +159,7 @@ def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tu
 
 def _load_all(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> None:
     marked, seen = _observed(batch, table)
-    write_table(marked, table.path(root), table.partition)
+    replace_table(spark, marked, table.path(root), table.partition)
     _record_mark(spark, root, table, _mark_of(seen))
 
 
@@ -182,14 +182,17 @@ def delete_insert(
     bound: datetime | None = None,
     mark: datetime | None = None,
     compare_existing: bool = True,
-) -> None:
-    """Put a batch into the target by key (or by range), touching only the partitions involved."""
+) -> list[str] | None:
+    """Put a batch into the target by key (or by range), touching only the partitions involved.
+
+    Returns the days it wrote, or None when it loaded the whole table.
+    """
     path = table.path(root)
     finish_replacement(spark, path, table.partition)
     present = paths.partition_values(spark, path, table.partition)
     if not present:
         _load_all(spark, root, table, batch)
-        return
+        return None
 
     staged, days, batch_mark = _stage(spark, root, table, batch)
     replaced = set(days)
@@ -217,6 +220,7 @@ def delete_insert(
     for d in emptied:
         paths.remove_partition(spark, path, table.partition, d)
     _record_mark(spark, root, table, max((m for m in (mark, batch_mark) if m), default=None))
+    return sorted((set(touched) - set(emptied)) | set(days))
 
 
 def refresh(
@@ -228,11 +232,14 @@ def refresh(
     restrictions: dict[str, Restriction],
     full_refresh: bool = False,
     compare_existing: bool = True,
-) -> None:
-    """Run an incremental table once: restrict its sources, build the batch, replace."""
+) -> list[str] | None:
+    """Run an incremental table once: restrict its sources, build the batch, replace.
+
+    Returns the days it wrote, or None when it loaded the whole table.
+    """
     if full_refresh:
         _load_all(spark, root, table, build(**sources))
-        return
+        return None
     finish_replacement(spark, table.path(root), table.partition)
     mark = high_water_mark(spark, root, table)
     bound = lookback_bound(mark, table.lookback)
@@ -240,7 +247,7 @@ def refresh(
         name: restrict(df, restrictions[name], bound, table.inclusive) if name in restrictions else df
         for name, df in sources.items()
     }
-    delete_insert(spark, root, table, build(**recent), bound, mark, compare_existing)
+    return delete_insert(spark, root, table, build(**recent), bound, mark, compare_existing)
 
 
 def rebuild(df: DataFrame, root: str, layer: str, name: str) -> None:

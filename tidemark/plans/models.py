@@ -81,7 +81,7 @@ def issuance_key() -> Column:
 # ---- intermediate -------------------------------------------------------------------------------
 
 
-def _observed(staged: DataFrame, identity: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
+def observed_rows(staged: DataFrame, identity: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
     return staged.filter(F.col("city").isNotNull()).select(
         "city",
         *identity,
@@ -99,21 +99,21 @@ def _keyed(rows: DataFrame, ranking: Ranking, name: str, key: Column) -> DataFra
 
 
 def hourly_weather(staged: DataFrame) -> DataFrame:
-    rows = _observed(staged, ("country", "latitude", "longitude"), WEATHER_MEASURES)
+    rows = observed_rows(staged, ("country", "latitude", "longitude"), WEATHER_MEASURES)
     return _keyed(rows, WEATHER_RANK, "city_hour_key", city_hour_key())
 
 
 def hourly_pollution(staged: DataFrame) -> DataFrame:
-    return _keyed(_observed(staged, (), POLLUTION_MEASURES), POLLUTION_RANK, "city_hour_key", city_hour_key())
+    return _keyed(observed_rows(staged, (), POLLUTION_MEASURES), POLLUTION_RANK, "city_hour_key", city_hour_key())
 
 
 def hourly_traffic_flow(staged: DataFrame) -> DataFrame:
-    return _keyed(_observed(staged, (), FLOW_MEASURES), FLOW_RANK, "city_hour_key", city_hour_key())
+    return _keyed(observed_rows(staged, (), FLOW_MEASURES), FLOW_RANK, "city_hour_key", city_hour_key())
 
 
 def traffic_incidents(staged: DataFrame) -> DataFrame:
     """One row per incident and sync. Features without an id cannot be keyed."""
-    rows = _observed(staged.filter(F.col("incident_id").isNotNull()), ("incident_id",), INCIDENT_MEASURES)
+    rows = observed_rows(staged.filter(F.col("incident_id").isNotNull()), ("incident_id",), INCIDENT_MEASURES)
     return _keyed(rows, INCIDENT_RANK, "city_incident_key", incident_key())
 
 

@@ -142,7 +142,7 @@ SYNCS_SQL = f"""syncs AS (
     FROM events CROSS JOIN (VALUES (0), (1)) AS r(n)))"""
 
 
-def _flat(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
+def flat(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
     return rows.select("*", *[F.expr(e).alias(f"f_{c}") for c, e in fields.items()])
 
 
@@ -187,7 +187,7 @@ def _landing(rows: DataFrame, feed: str, columns: dict) -> DataFrame:
 
 
 def _weather_landing(rows: DataFrame) -> DataFrame:
-    return _landing(_flat(rows, WEATHER), "current_weather", {
+    return _landing(flat(rows, WEATHER), "current_weather", {
         "name": F.col("f_api_locality"), "dt": F.col("dt"), "timezone": F.col("f_timezone_offset_sec"),
         "visibility": F.col("f_visibility_m"), "coord": _struct(lat="latitude", lon="longitude"),
         "weather": _conditions(), "main": _main(), "wind": _wind(),
@@ -200,7 +200,7 @@ def _weather_landing(rows: DataFrame) -> DataFrame:
 
 
 def _pollution_landing(rows: DataFrame) -> DataFrame:
-    return _landing(_flat(rows, POLLUTION), "air_pollution", {
+    return _landing(flat(rows, POLLUTION), "air_pollution", {
         "dt": F.col("dt"), "main": _struct(aqi="aqi"),
         "components": _struct(co="co_ug_m3", no="no_ug_m3", no2="no2_ug_m3", o3="o3_ug_m3", so2="so2_ug_m3",
                               pm2_5="pm2_5_ug_m3", pm10="pm10_ug_m3", nh3="nh3_ug_m3"),
@@ -212,7 +212,7 @@ def _forecast_landing(rows: DataFrame) -> DataFrame:
     slots = rows.withColumn("lead", F.explode(F.array(*[F.lit(h) for h in LEADS])))
     target = F.col("hr") + F.make_dt_interval(hours=F.col("lead"))
     slots = slots.withColumn("slot", target)
-    return _landing(_flat(slots, FORECAST), "weather_forecast", {
+    return _landing(flat(slots, FORECAST), "weather_forecast", {
         "dt": F.unix_seconds(F.col("slot").cast("timestamp")), "dt_txt": F.col("slot").cast("string"),
         "pop": F.col("f_precipitation_probability"), "visibility": F.col("f_visibility_m"), "main": _main(),
         "weather": _conditions(), "wind": _wind(), "clouds": _struct(all="cloudiness_pct"),
@@ -221,7 +221,7 @@ def _forecast_landing(rows: DataFrame) -> DataFrame:
 
 
 def _flow_landing(rows: DataFrame) -> DataFrame:
-    return _landing(_flat(rows, FLOW), "traffic_flow", {
+    return _landing(flat(rows, FLOW), "traffic_flow", {
         "frc": F.col("f_road_class"), "confidence": F.col("f_confidence"), "roadClosure": F.col("f_road_closure"),
         "currentSpeed": F.col("f_current_speed_kmh"), "freeFlowSpeed": F.col("f_free_flow_speed_kmh"),
         "currentTravelTime": F.col("f_current_travel_time_sec"), "freeFlowTravelTime": F.col("f_free_flow_travel_time_sec"),
@@ -229,7 +229,7 @@ def _flow_landing(rows: DataFrame) -> DataFrame:
 
 
 def _incident_landing(rows: DataFrame) -> DataFrame:
-    return _landing(_flat(rows, INCIDENT), "traffic_incidents", {
+    return _landing(flat(rows, INCIDENT), "traffic_incidents", {
         "type": F.col("f_feature_type"), "geometry": F.col("f_geometry"),
         "properties": F.struct(
             *[F.col(f"f_{c}").alias(n) for n, c in {
@@ -245,7 +245,7 @@ def _incident_landing(rows: DataFrame) -> DataFrame:
     })
 
 
-_BUILDERS = {
+BUILDERS = {
     "current_weather": _weather_landing,
     "air_pollution": _pollution_landing,
     "weather_forecast": _forecast_landing,
@@ -260,7 +260,7 @@ def landing(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     if feed.startswith("traffic"):
         covered = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin(*TRAFFIC_SEGMENTS))
         rows = rows.join(covered.select(F.col("c_custkey").alias("user_id")), "user_id", "left_semi")
-    return _BUILDERS[feed](rows)
+    return BUILDERS[feed](rows)
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:

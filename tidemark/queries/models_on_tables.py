@@ -23,7 +23,7 @@ def composed(build: Callable[..., DataFrame], *inputs: str, **extra) -> Build:
 
 
 MODELS: dict[str, Build] = {
-    **{f"stg_{feed}": staging(feed) for feed in d._BUILDERS},
+    **{f"stg_{feed}": staging(feed) for feed in d.BUILDERS},
     "int_city_hourly_weather": composed(m.hourly_weather, "stg_current_weather"),
     "int_city_hourly_pollution": composed(m.hourly_pollution, "stg_air_pollution"),
     "int_city_hourly_traffic_flow": composed(m.hourly_traffic_flow, "stg_traffic_flow"),

@@ -135,7 +135,7 @@ def extract_records(spark, sf):
 )
 def extract_nested_object(spark, sf):
     """Responses whose record is a nested object."""
-    flow = d._flat(d.syncs(spark, sf), d.FLOW)
+    flow = d.flat(d.syncs(spark, sf), d.FLOW)
     inner = F.struct(
         F.col("f_road_class").alias("frc"), F.col("f_current_speed_kmh").alias("currentSpeed"),
         F.col("f_free_flow_speed_kmh").alias("freeFlowSpeed"), F.col("f_road_closure").alias("roadClosure"),

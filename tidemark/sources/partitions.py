@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources import paths
 
-READY = "_READY"
+READY, READY_ALL = "_READY", "_READY_ALL"
 
 
-def write_table(df: DataFrame, path: str, partition: str) -> None:
-    """Overwrite a whole table.
+def _write(df: DataFrame, path: str, partition: str) -> None:
+    """Write one folder per date.
 
     The rebalance hint gathers each date before the write: without it every shuffle task would
     leave one small file per date. Adaptive execution splits a hot date over several tasks.
@@ -18,27 +18,39 @@ def write_table(df: DataFrame, path: str, partition: str) -> None:
     df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
-def _swap_path(path: str) -> str:
+def swap_path(path: str) -> str:
     parent, name = path.rstrip("/").rsplit("/", 1)
     return f"{parent}/_swap/{name}"
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition: str) -> None:
+    """Replace a whole table; the old one stays until the new one is complete."""
+    _replace(spark, df, path, partition, READY_ALL)
+
+
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that ``df`` holds; it may read the table it replaces.
+    """Replace the partitions that ``df`` holds; it may read the table it replaces."""
+    _replace(spark, df, path, partition, READY)
+
+
+def _replace(spark: SparkSession, df: DataFrame, path: str, partition: str, marker: str) -> None:
+    """Write next to the table, mark the result complete, then move it in.
 
-    The new partitions are written next to the table and moved in when all of them are complete.
-    A run that dies in between is completed by the next one (``finish_replacement``), so stored
-    rows are never lost to a half-done replacement.
+    A run that dies in between is completed by the next one, so stored rows are never lost to a
+    half-done replacement.
     """
-    swap = _swap_path(path)
-    write_table(df, swap, partition)
-    paths.touch(spark, f"{swap}/{READY}")
+    swap = swap_path(path)
+    _write(df, swap, partition)
+    paths.touch(spark, f"{swap}/{marker}")
     finish_replacement(spark, path, partition)
 
 
 def finish_replacement(spark: SparkSession, path: str, partition: str) -> None:
-    """Move complete new partitions in; drop incomplete ones."""
-    swap = _swap_path(path)
+    """Move a complete replacement in; drop an incomplete one."""
+    swap = swap_path(path)
+    if paths.exists(spark, f"{swap}/{READY_ALL}"):
+        paths.move(spark, swap, path)
+        return
     if paths.exists(spark, f"{swap}/{READY}"):
         for value in paths.partition_values(spark, swap, partition):
             paths.move(spark, f"{swap}/{partition}={value}", f"{path}/{partition}={value}")

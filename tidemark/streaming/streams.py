@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,7 +52,7 @@ def alerts(stream: DataFrame, rules: Sequence[AlertRule], keep: Sequence[str]) -
 
 
 def keyed_replace(
-    spark: SparkSession, root: str, table: Table, build: Callable[[DataFrame], DataFrame] | None = None
+    root: str, table: Table, build: Callable[[DataFrame], DataFrame] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink: each micro-batch replaces its keys in a partitioned table.
 
