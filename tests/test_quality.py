@@ -69,6 +69,14 @@ def test_every_rule_type(spark):
     assert not contract.blocks(got["min", "typo"]) and got["min", "typo"]["rows_checked"] is None
 
 
+def test_malformed_rule_values_block(spark):
+    syncs = [("2026-01-05 11:00:00", "A", h.weather("2026-01-05 10:00:00"))]
+    rules = [Rule(None, "min_row_count", "many", "warn"), Rule("weather_main", "accepted_values", "5", "warn"), Rule("humidity_pct", "max_null_pct", None, "warn")]
+    got = _audit(spark, syncs, rules)
+    bad = [got["min_row_count", None], got["accepted_values", "weather_main"], got["max_null_pct", "humidity_pct"]]
+    assert [r["status"] for r in bad] == ["missing"] * 3 and all(contract.blocks(r) for r in bad)
+
+
 def test_inactive_column_and_empty_batch_are_quiet(spark):
     fields = [m._replace(is_active=m.target_column != "humidity_pct") for m in FIELD_MAPPINGS["current_weather"]]
     got = _audit(spark, [("2026-01-05 11:00:00", "A", h.weather("2026-01-05 10:00:00"))], [Rule("humidity_pct", "max", "1")], fields)
