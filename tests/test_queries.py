@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entrypoint
 from tests.compare import differences, duck, duck_rows, spark_rows
+from tidemark.queries import catalog
 
-QUERIES = entrypoint.queries()
-ORACLES = entrypoint.oracle_sql()
+QUERIES = {n: q.plan for n, q in catalog().items()}
+ORACLES = {n: q.sql for n, q in catalog().items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")

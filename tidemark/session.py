@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,20 +34,12 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@cache
-def _local_scratch(application: str) -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the session.
+    """A fresh folder for intermediate tables, on storage that the driver and all executors share.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of this machine, because nothing else could read it there.
+    The cluster names the place in ``spark.checkpoint.dir``; where that is unset, it lies below the
+    warehouse folder, which Spark itself resolves. Nothing is removed while a session may still read
+    it: each session writes below ``scratch-<application id>``, which can be deleted once it has ended.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
-        base = _local_scratch(spark.sparkContext.applicationId)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get(CHECKPOINT_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
