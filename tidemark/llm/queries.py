@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import languages, licenses, toxicity
-from tidemark.llm.common import fold, read
+from tidemark.llm import contamination, languages, licenses, pii, toxicity
+from tidemark.llm.common import fold, read, sha256_hex
 
 
 def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,63 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("found"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in ("email", "ip", "card", "phone")],
+        sha256_hex(pii.described(F.col("found"), base=True)).alias("base_sha256"),
+        pii.described(F.col("found")).alias("spans"),
+    )
+
+
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    n_hit = F.size(contamination.hit_words(F.col("hits"))).cast("bigint")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        sha256_hex(F.array_join("items", ",")).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), bw AS (
+    SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+    SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), hit AS (
+    SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -40,5 +97,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op3_languages, op4_licenses, op8_toxicity)}
-SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f for f in (op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity)
+}
+SQL: dict[str, str] = {"op6_contamination": OP6_SQL}
