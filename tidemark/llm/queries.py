@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, languages, licenses, pii, toxicity
+from tidemark.llm import contamination, languages, licenses, packing, pii, toxicity
 from tidemark.llm.common import fold, read, sha256_hex
 
 
@@ -97,7 +98,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity)
+    f.__name__: f
+    for f in (op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
 }
 SQL: dict[str, str] = {"op6_contamination": OP6_SQL}
