@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, languages, licenses, packing, pii, toxicity
+from tidemark.llm import contamination, html_text, languages, licenses, packing, pii, toxicity
 from tidemark.llm.common import fold, read, sha256_hex
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.with_main_text(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = languages.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
@@ -104,6 +110,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
+    for f in (op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
 }
 SQL: dict[str, str] = {"op6_contamination": OP6_SQL}
