@@ -6,10 +6,40 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, html_text, languages, licenses, packing, pii, toxicity
+from tidemark.llm import contamination, fingerprints, html_text, languages, licenses, packing, pii, toxicity
 from tidemark.llm.common import fold, read, sha256_hex
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fingerprints.with_next(read(spark, sf_dir, "documents"))
+    n, text = F.length("text"), F.col("text")
+    taken = F.floor(n / 3).cast("int")
+    edited = F.concat(F.substr(text, F.lit(1), n - taken), F.substr(F.col("next_text"), F.lit(1), taken))
+    texts = docs.select("doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"), "next_text")
+    sets = texts.select(
+        "doc_id",
+        "n_chars",
+        sha256_hex(F.col("edited")).alias("edited_sha256"),
+        *[fingerprints.digests(F.col(c)).alias(a) for c, a in (("text", "own"), ("edited", "new"), ("next_text", "next"))],
+    )
+    cells = sets.select("*", *[fingerprints.sketch(F.col(c)).alias(f"{c}_cells") for c in ("own", "new", "next")])
+
+    def compared(other: str) -> Column:
+        return fingerprints.difference(F.col("own"), F.col(other), F.col("own_cells"), F.col(f"{other}_cells"))
+
+    found = cells.select("*", compared("new").alias("to_new"), compared("next").alias("to_next"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.encoded(F.col("own"), F.col("own_cells")).alias("fingerprint"),
+        fingerprints.encoded(F.col("new"), F.col("new_cells")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("own"), F.col("new"), F.col("to_new")).alias("near_edited"),
+        fingerprints.likeness(F.col("own"), F.col("next"), F.col("to_next")).alias("near_next"),
+        (F.col("to_new.whole") & F.col("to_next.whole")).alias("recovered"),
+    )
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_text.with_main_text(pages)
@@ -110,6 +140,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
+    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
 }
 SQL: dict[str, str] = {"op6_contamination": OP6_SQL}
