@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, fingerprints, html_text, languages, licenses, packing, pii, toxicity
+from tidemark.llm import contamination, fingerprints, html_text, languages, licenses, packing, pii, substrings, toxicity
 from tidemark.llm.common import fold, read, sha256_hex
 
 
@@ -134,12 +134,37 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicate(read(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
+OP9_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS win
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), first AS (
+    SELECT win, min(doc_id) AS lo FROM win GROUP BY win HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 50)) AS p FROM win JOIN first USING (win) WHERE doc_id > lo
+), kept AS (
+    SELECT d.r, string_agg(x.w, ' ' ORDER BY x.p) AS txt
+    FROM (SELECT r, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS p FROM d) x JOIN d USING (r) ANTI JOIN gone USING (r, p)
+    GROUP BY d.r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op10_packing)
+    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op9_substrings, op10_packing)
 }
-SQL: dict[str, str] = {"op6_contamination": OP6_SQL}
+SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL}
