@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, fingerprints, html_text, languages, licenses, packing, pii, substrings, toxicity
+from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, pii, substrings, toxicity
 from tidemark.llm.common import fold, read, sha256_hex
 
 
@@ -125,6 +125,11 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.classes(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", jaccard.component_id(F.col("component")).alias("component_id"), "n_links")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -165,6 +170,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op8_toxicity, op9_substrings, op10_packing)
+    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op7_jaccard, op8_toxicity, op9_substrings, op10_packing)
 }
 SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL}
