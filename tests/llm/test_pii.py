@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import pii, queries
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def _valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def _base(text):
+    return [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if _valid(k, m.group())]
+
+
+def _fuzz(n):
+    rng = random.Random(11)
+    parts = list("ab1290.+-@ ()") + ["4111 1111 1111 1111", "a@b.cc", "@x.y", "256.1.1.1", "10.0.0.255", "+1 (555) 010-2233", "é", "☃", "𝒳", "\n", "00"]
+    return [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))) for i in range(n)]
+
+
+def test_query_equals_brute_force(spark, docs_of, stored_tables, sf):
+    given = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    rows = [(i + 10_000, t) for i, t in given] + _fuzz(1500) + [(5000, None), (5001, ""), (5001, "")]
+    got = queries.op5_personal_data(spark, stored_tables(documents=docs_of(rows))).collect()
+    assert len(got) == len(rows)
+    expected = {i: _base(t) for i, t in rows}
+    for r in got:
+        spans = expected[r["doc_id"]]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), (r, joined)
+        for kind in PATTERNS:
+            assert r[f"n_{kind}"] == sum(k == kind for k, _, _ in spans)
+        assert r["spans"].startswith(joined)
+
+
+def test_checksums(spark):
+    df = spark.createDataFrame(
+        [("GB82 WEST 1234 5698 7654 32", True), ("GB82 WEST 1234 5698 7654 33", False), ("DE89370400440532013000", True)], "a string, ok boolean"
+    )
+    assert [r[0] == r[1] for r in df.select(pii.mod97(F.col("a")), "ok").collect()] == [True] * 3
+    numbers = spark.createDataFrame([("4111111111111111", True), ("4111111111111112", False), ("0", True)], "a string, ok boolean")
+    assert [r[0] == r[1] for r in numbers.select(pii.luhn(F.col("a")), "ok").collect()] == [True] * 3
+
+
+def test_added_kinds_and_context(spark):
+    texts = ["my bank iban DE89370400440532013000.", "no iban XX00370400440532013000.", "ssn 123-45-6789", "part 123-45-6789", "call +1 (555) 010-2233", "+1 (555) 010-2233"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = {r["i"]: [(s["kind"], round(s["score"], 2), s["value"]) for s in r["s"]] for r in df.select("i", pii.spans(F.col("t")).alias("s")).collect()}
+    assert found[0] == [("iban", 1.0, "DE89370400440532013000")] and found[1] == []
+    assert found[2] == [("ssn", 0.55, "123-45-6789")] and found[3] == []
+    assert found[4][0][1] > found[5][0][1]
+
+
+def test_redaction(spark, docs_of):
+    docs = docs_of([(1, "write a.b@c.de or 10.0.0.1, card 4111-1111-1111-1111, +1 (555) 010-2233; 1.2.3.999"), (2, None), (3, "clean")])
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert got == {1: "write [EMAIL] or [IP], card [CARD], [PHONE]; 1.2.3.999", 2: None, 3: "clean"}
+
+
+def test_long_and_hostile_texts(spark):
+    texts = ["a" * 200_000, "1" * 200_000, "1 " * 100_000, "a@b" + ".c" * 50_000, "+1" * 100_000, "1." * 100_000, "a.b-c%" * 40_000 + "@"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = {r["i"]: [(s["kind"], s["start"], s["end"]) for s in r["s"]] for r in df.select("i", pii.spans(F.col("t")).alias("s")).collect()}
+    assert found[0] == [] and found[1] == [] and found[6] == []
+    assert found[3] == [("email", 0, len(texts[3]))] and len(found[5]) == 25_000
+
+
+def test_no_python_in_the_plan(spark, docs_of):
+    df = docs_of([(1, "a@b.cc")])
+    plan = df.select(pii.spans(F.col("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_table(spark, docs_of, stored_tables):
+    assert queries.op5_personal_data(spark, stored_tables(documents=docs_of([]))).count() == 0

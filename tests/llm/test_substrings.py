@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+
+from tests.compare import differences, duck, duck_rows, spark_rows
+from tidemark.llm import queries, substrings
+
+
+def _brute(rows, length):
+    first, found = {}, {}
+    for i, t in rows:
+        found.setdefault(i, []).append((t or "").encode().split())
+    for i in sorted(found):
+        for w in found[i]:
+            for p in range(len(w) - length + 1):
+                first.setdefault(tuple(w[p : p + length]), i)
+    out = []
+    for i, texts in found.items():
+        for w in texts:
+            gone = [False] * len(w)
+            for p in range(len(w) - length + 1):
+                if first[tuple(w[p : p + length])] < i:
+                    gone[p : p + length] = [True] * length
+            out.append((i, len(w), sum(gone), b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return sorted(out)
+
+
+def _rows(prose, seed, length):
+    rng = random.Random(seed)
+    passages = [prose(seed * 77 + k, rng.randint(length - 2, 2 * length)) for k in range(6)]
+    rows = []
+    for i in range(80):
+        text = prose(seed * 1000 + i, rng.randint(0, 3 * length), 500)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(text))
+            text[at:at] = rng.choice(passages)
+        rows.append((i, " ".join(text)))
+    return rows + [(100, rows[3][1]), (101, rows[3][1].replace(" ", "\n ")), (50, rows[3][1]), (102, None), (103, ""), (104, "x " * 5000), (105, "x " * 5000), (104, "y " * 200 + rows[3][1])]
+
+
+def test_operator_equals_brute_force(spark, docs_of, prose):
+    for length in (2, 5, 12):
+        rows = _rows(prose, length, length)
+        got = substrings.deduplicate(docs_of(rows), length).collect()
+        assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == _brute(rows, length)
+
+
+def test_query_equals_sql(spark, sf):
+    got = spark_rows(queries.op9_substrings(spark, sf))
+    assert differences(got, duck_rows(duck(sf), queries.SQL["op9_substrings"])) == []
+
+
+def test_query_equals_brute_force(spark, docs_of, stored_tables, prose):
+    rows = _rows(prose, 9, 50)
+    got = queries.op9_substrings(spark, stored_tables(documents=docs_of(rows))).collect()
+    expected = sorted((i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in _brute(rows, 50))
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == expected
+
+
+def test_a_crowded_sketch_loses_nothing(spark, docs_of, prose):
+    rows = _rows(prose, 4, 6)
+    got = substrings.deduplicate(docs_of(rows), 6, width=substrings.PART).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == _brute(rows, 6)
+
+
+def test_sketch_only_overestimates():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 5000, 300)).astype(np.uint64) for _ in range(12)]
+    own = substrings.Sketch()
+    for s in sets:
+        own.add(s)
+    planes = np.packbits(own.counts >= 2, axis=1)
+    everything, n = np.unique(np.concatenate(sets), return_counts=True)
+    assert substrings.maybe_repeated(everything, planes)[n >= 2].all()
+
+
+def test_odd_documents(spark, odd_docs, docs_of):
+    rows = substrings.deduplicate(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    gone = {r["doc_id"]: r["n_removed"] for r in rows}
+    assert gone[8] == 40000 and gone[7] == 0 and gone[None] == 0
+    assert substrings.deduplicate(docs_of([])).count() == 0

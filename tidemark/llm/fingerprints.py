@@ -199,9 +199,12 @@ def _shares(found: Column, shares: Column) -> Column:
     )
 
 
-def difference(a: Column, b: Column, sketch_a: Column | None = None, sketch_b: Column | None = None) -> Column:
-    """struct<only_a, only_b, whole> of two digest sets through their sketches, retried larger on failure."""
-    first = peel(subtract(sketch(a) if sketch_a is None else sketch_a, sketch(b) if sketch_b is None else sketch_b))
+def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
+    """struct<only_a, only_b, whole> of two digest sets through their sketches, retried larger on failure.
+
+    All four should be plain columns of their own projection, so that none is computed more than once.
+    """
+    first = peel(subtract(sketch_a, sketch_b))
 
     def retried(p: Column, sizes: tuple[int, ...]) -> Column:
         tried = peel(sketch(p["x"], sizes[0], minus=p["y"]), sizes[0])

@@ -100,21 +100,21 @@ def windows(text: str | None, length: int, kept: np.ndarray) -> tuple[np.ndarray
     return at, _runs(hashes, length, _P)[at], _runs(_mixed(hashes ^ _Q), length, _Q)[at]
 
 
-def _cells(found: np.ndarray, row: int) -> np.ndarray:
+def _cells(found: np.ndarray, row: int, width: int) -> np.ndarray:
     salt = np.uint64((row + 1) * int(_Q) & ((1 << 64) - 1))
-    return (_mixed(found + salt) >> np.uint64(8)) & np.uint64(WIDTH - 1)
+    return (_mixed(found + salt) >> np.uint64(8)) & np.uint64(width - 1)
 
 
 class Sketch:
     """Count-min cells that tell none, one and more apart, as two planes of bits for each row."""
 
-    def __init__(self) -> None:
-        self.counts = np.zeros((ROWS, WIDTH), np.uint8)
+    def __init__(self, width: int = WIDTH) -> None:
+        self.counts = np.zeros((ROWS, width), np.uint8)
 
     def add(self, found: np.ndarray) -> None:
         """Counts the anchors of one document: once in each cell that they meet."""
-        for row in range(ROWS):
-            cells = np.unique(_cells(found, row))
+        for row, width in enumerate([self.counts.shape[1]] * ROWS):
+            cells = np.unique(_cells(found, row, width))
             self.counts[row][cells] = np.minimum(self.counts[row][cells] + 1, 2)
 
     def parts(self) -> Iterator[tuple[int, bytes, bytes]]:
@@ -137,11 +137,11 @@ def _merge(table: pa.Table) -> pa.Table:
     )
 
 
-def repeated_cells(anchored: DataFrame) -> np.ndarray:
-    """The merged sketch of the column ``anchors``: packed bits of the cells with two or more, ROWS x WIDTH / 8 bytes."""
+def repeated_cells(anchored: DataFrame, width: int = WIDTH) -> np.ndarray:
+    """The merged sketch of the column ``anchors``: packed bits of the cells with two or more, ROWS x width / 8 bytes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Sketch()
+        own = Sketch(width)
         for batch in batches:
             for found in batch.column("anchors"):
                 own.add(found.values.to_numpy(zero_copy_only=False).view(np.uint64))
@@ -153,17 +153,17 @@ def repeated_cells(anchored: DataFrame) -> np.ndarray:
     partial = anchored.select("anchors").mapInArrow(count, _PARTS)
     fanned = partial.withColumn("fan", F.pmod(F.spark_partition_id(), F.lit(FAN)))
     merged = fanned.groupBy("part", "fan").applyInArrow(lambda t: _merge(t), _PARTS)
-    planes = np.zeros((ROWS * WIDTH // PART, PART // 8), np.uint8)
+    planes = np.zeros((ROWS * width // PART, PART // 8), np.uint8)
     for row in merged.groupBy("part").applyInArrow(lambda t: _merge(t), _PARTS).select("part", "two").toLocalIterator():
         planes[row["part"]] = np.frombuffer(row["two"], np.uint8)
-    return planes.reshape(ROWS, WIDTH // 8)
+    return planes.reshape(ROWS, width // 8)
 
 
 def maybe_repeated(found: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """Which anchors the sketch estimates in two or more documents."""
     kept = np.ones(found.size, bool)
     for row in range(ROWS):
-        cells = _cells(found, row).astype(np.int64)
+        cells = _cells(found, row, planes.shape[1] * 8).astype(np.int64)
         kept &= (planes[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
     return kept
 
@@ -177,11 +177,12 @@ def _kept(found: list[bytes], digest: bool) -> str:
     return hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace")
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, digest: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, digest: bool = False, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept: one row per document.
 
     kept: the words that stay, joined by one space, or with ``digest`` their SHA-256 in hexadecimal, which
-    spares the intermediate tables the texts of documents that are settled early.
+    spares the intermediate tables the texts of documents that are settled early. width: cells of a row of the
+    sketch (a power of two, PART at least); a crowded sketch only lets more anchors through to the exact step.
     """
     if length < 2:
         raise ValueError("a window has two words at least")
@@ -210,7 +211,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, digest: bool = False) ->
         "substrings-marked",
     )
     originals = marked.where("not is_copy")
-    planes = spark.sparkContext.broadcast(repeated_cells(originals))  # ROWS x WIDTH bits
+    planes = spark.sparkContext.broadcast(repeated_cells(originals, width))  # ROWS x width bits
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,9 +25,9 @@ DIM = 8
 GRAMS = (4, 5, 6)
 #: At most so many labelled documents of label 0 and 1 are used to fit: a documented bound, not a cut of what is scored.
 SAMPLE = {0: 3000, 1: 1500}
-EPOCHS, BATCH, RATE, DECAY, SEED = 8, 128, 0.01, 1e-3, 7
+STEPS, BATCH, RATE, DECAY, SEED = 288, 128, 0.003, 3e-3, 7
 #: The mean is scaled by this before the softmax, so that a few words among hundreds can carry a document.
-SCALE = 60.0
+SCALE = 200.0
 #: So many blank words (zero vectors) join every mean, so that one odd word of a very short text decides little.
 BLANK = 12
 _FIND = re.compile(WORD).findall
@@ -92,8 +92,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Mode
     bias = np.zeros(2, np.float32)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (table, out, bias)]
     class_weight = (len(labels) / (2 * np.bincount(labels, minlength=2))).astype(np.float32)
-    step = 0
-    for _ in range(EPOCHS):
+    step, passes = 0, -(-STEPS * BATCH // len(bags))
+    for _ in range(passes):
         order = rng.permutation(len(bags))
         for begin in range(0, len(order), BATCH):
             picked = [i for i in order[begin : begin + BATCH] if bags[i][0].size]
