@@ -128,19 +128,19 @@ def test_interrupted_replacement_is_completed_by_the_next_run(spark, root):
     swap = partitions.swap_path(path)
     changed = inc.read_table(spark, path).withColumn("v", F.lit(7))
     # the run wrote everything and died after it had removed one old partition
-    partitions._write(changed, swap, "day")
+    partitions.write_days(changed, swap, "day")
     paths.touch(spark, f"{swap}/{partitions.READY}")
     paths.remove_partition(spark, path, "day", "2026-01-01")
     _refresh(spark, root, _source(spark, []))
     assert [r[3] for r in _stored(spark, root)] == [7, 7]
     # a run that died while writing leaves the table as it was
     partial = inc.read_table(spark, path).withColumn("v", F.lit(9)).limit(1)
-    partitions._write(partial, swap, "day")
+    partitions.write_days(partial, swap, "day")
     _refresh(spark, root, _source(spark, []))
     assert [r[3] for r in _stored(spark, root)] == [7, 7]
     assert not paths.exists(spark, swap)
     # a full refresh that died after writing everything replaces the whole table
-    partitions._write(_build(_source(spark, [("z", at, at, 3)])), swap, "day")
+    partitions.write_days(_build(_source(spark, [("z", at, at, 3)])), swap, "day")
     paths.touch(spark, f"{swap}/{partitions.READY_ALL}")
     _refresh(spark, root, _source(spark, []))
     assert [r[0] for r in _stored(spark, root)] == ["z"]

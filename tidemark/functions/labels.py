@@ -24,14 +24,6 @@ DAY_PARTS = [(5, "Night"), (11, "Morning"), (17, "Afternoon")]
 DAY_PART_REST = "Evening"
 
 
-def code_label(code: Column, names: dict[int, str]) -> Column:
-    """Label of an integer code; an unknown code has no label."""
-    out = F.lit(None).cast("string")
-    for value, name in reversed(names.items()):
-        out = F.when(code == value, name).otherwise(out)
-    return out
-
-
 def _dec(text: str) -> Column:
     return F.lit(Decimal(text))
 

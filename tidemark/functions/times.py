@@ -23,11 +23,6 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def literal_like(value, dtype: str) -> Column:
-    """A literal of the cursor's own type, so that the filter reaches the Parquet scan."""
-    return F.lit(str(value)).cast(dtype)
-
-
 def lead_time_hours(target: Column | str, issued: Column | str) -> Column:
     """Whole hours between two naive timestamps, rounded half away from zero."""
     micros = F.timestamp_diff("MICROSECOND", _col(issued), _col(target))

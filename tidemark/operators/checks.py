@@ -23,11 +23,13 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child keys that the parent lacks, with their row count; NULL keys pass.
 
-    Counting per key first means that a hot foreign key reaches the join as one row.
+    Both sides are reduced to one row per key before the join. An outer join with a marker keeps it so: an
+    anti join would be pushed below the count, and every child row would go into it.
     """
     keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
-    return keys.join(known, column, "left_anti")
+    known = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    marked = keys.join(known.withColumn("_known", F.lit(True)), column, "left")
+    return marked.filter(F.col("_known").isNull()).drop("_known")
 
 
 def outside_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

@@ -19,14 +19,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import ntz
 from tidemark.operators.dedupe import Ranking, keep_latest
 from tidemark.sources import paths
-from tidemark.sources.partitions import finish_replacement, replace_partitions, replace_table
+from tidemark.sources.partitions import finish_replacement, replace_partitions, replace_table, replace_whole, write_days
 
 
 @dataclass(frozen=True)
@@ -92,7 +91,7 @@ def high_water_mark(spark: SparkSession, root: str, table: Table) -> datetime |
     if not paths.has_data(spark, path):
         return None
     if table.aligned:
-        days = paths.partition_values(spark, path, table.partition)
+        days = [d for d in paths.partition_values(spark, path, table.partition) if d != paths.NULL_VALUE]
         if not days:
             return None
         newest = date.fromisoformat(days[-1])
@@ -137,30 +136,27 @@ def _observed(batch: DataFrame, table: Table) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return batch.observe(seen, F.max(F.col(table.cursor).cast("timestamp_ntz")).alias("mark")), seen
 
-
-def _mark_of(seen: Observation) -> datetime | None:
-    """The measured mark; None for a batch that was planned away as empty and never ran."""
-    try:
-        return _as_datetime(seen.get.get("mark"))
-    except Py4JJavaError:
-        return None
+def _mark_of(seen: Observation, days: list[str]) -> datetime | None:
+    """The measured mark; a batch that wrote no day may have been planned away, so it has none."""
+    return _as_datetime(seen.get.get("mark")) if days else None
 
 
 def _stage(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> tuple[DataFrame, list[str], datetime | None]:
     """Write the batch once; its days come from the folder names, its mark from the write itself."""
     folder = f"{root}/_batches/{table.name}"
     marked, seen = _observed(batch, table)
-    marked.write.mode("overwrite").partitionBy(table.partition).parquet(folder)
+    write_days(marked, folder, table.partition)
     days = paths.partition_values(spark, folder, table.partition)
     if not days:
         return batch.limit(0), [], None
-    return spark.read.schema(batch.schema).parquet(folder).select(*batch.columns), days, _mark_of(seen)
+    return spark.read.schema(batch.schema).parquet(folder).select(*batch.columns), days, _mark_of(seen, days)
 
 
 def _load_all(spark: SparkSession, root: str, table: Table, batch: DataFrame) -> None:
     marked, seen = _observed(batch, table)
     replace_table(spark, marked, table.path(root), table.partition)
-    _record_mark(spark, root, table, _mark_of(seen))
+    days = paths.partition_values(spark, table.path(root), table.partition)
+    _record_mark(spark, root, table, _mark_of(seen, days))
 
 
 def _record_mark(spark: SparkSession, root: str, table: Table, mark: datetime | None) -> None:
@@ -198,14 +194,17 @@ def delete_insert(
     replaced = set(days)
     by_range = table.replace_range and bound is not None
     if by_range:
-        replaced |= {d for d in present if d >= bound.date().isoformat()}
+        replaced |= {d for d in present if d != paths.NULL_VALUE and d >= bound.date().isoformat()}
     touched = sorted(replaced & set(present))
     part = F.col(table.partition)
-    stored = read_table(spark, path).filter(part.isin([date.fromisoformat(d) for d in touched]))
+    stored = read_table(spark, path).filter(paths.on_days(part, touched))
     emptied: list[str] = []
     if by_range:
         edge = ntz(bound)
         kept = stored.filter(F.col(table.cursor) < edge if table.inclusive else F.col(table.cursor) <= edge)
+        if paths.NULL_VALUE in touched:  # rows without a cursor lie in no range; they are replaced by key
+            undated = stored.filter(F.col(table.cursor).isNull()).join(staged.select(table.key), table.key, "left_anti")
+            kept = kept.unionByName(undated.select(*kept.columns))
         edge_day = bound.date().isoformat()
         for d in touched:
             if d not in days and (d != edge_day or kept.filter(part == F.lit(bound.date())).isEmpty()):
@@ -220,6 +219,7 @@ def delete_insert(
     for d in emptied:
         paths.remove_partition(spark, path, table.partition, d)
     _record_mark(spark, root, table, max((m for m in (mark, batch_mark) if m), default=None))
+    paths.remove(spark, f"{root}/_batches/{table.name}")
     return sorted((set(touched) - set(emptied)) | set(days))
 
 
@@ -252,7 +252,7 @@ def refresh(
 
 def rebuild(df: DataFrame, root: str, layer: str, name: str) -> None:
     """Full rebuild: rows that no longer qualify disappear."""
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{layer}/{name}")
+    replace_whole(df.sparkSession, df, f"{root}/{layer}/{name}")
 
 
 def backfill_keys(df: DataFrame, key: str, new_key: Column) -> DataFrame:

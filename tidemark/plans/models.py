@@ -7,6 +7,7 @@ runs give the same functions restricted inputs (see ``warehouse``).
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -321,21 +322,26 @@ def forecast_accuracy(forecast: DataFrame, weather: DataFrame, as_of: datetime)
 _BY, _AT = ("city",), "date_utc"
 
 
+def one_row_per(grain: list[str], *facts: DataFrame) -> DataFrame:
+    """Facts with at most one row per grain, side by side: one scan of each and one exchange for all."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
+    return stacked.groupBy(*grain).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in grain])
+
+
 def city_daily(weather: DataFrame, pollution: DataFrame, traffic: DataFrame, cities: DataFrame) -> DataFrame:
     """One wide row per city and day: the three daily facts, a comfort score, labels and trend.
 
-    The base is already partitioned by its grain, so each fact joins with one exchange of its own.
+    Each fact is read once. Pollution and traffic have one row per city and day and share one aggregate;
+    weather may repeat a day (one row per country), so it joins them, which keeps the repeats.
     """
-    base = weather.select(*CITY_DAY).unionByName(pollution.select(*CITY_DAY)).unionByName(traffic.select(*CITY_DAY)).distinct()
     grain = list(CITY_DAY)
+    air = pollution.select(*grain, "avg_aqi", "max_aqi", "avg_pm2_5_ug_m3", "avg_pm10_ug_m3", "hours_poor_air")
+    roads = traffic.select(*grain, "avg_congestion_score", "avg_current_speed_kmh", "total_incidents", "major_incidents")
+    others = one_row_per(grain, air, roads)
     wide = (
-        base.join(
-            weather.select(*grain, "avg_temp_celsius", "min_temp_celsius", "max_temp_celsius", "avg_humidity_pct",
-                           "total_rain_mm", "dominant_weather_main"),
-            grain, "left",
-        )
-        .join(pollution.select(*grain, "avg_aqi", "max_aqi", "avg_pm2_5_ug_m3", "avg_pm10_ug_m3", "hours_poor_air"), grain, "left")
-        .join(traffic.select(*grain, "avg_congestion_score", "avg_current_speed_kmh", "total_incidents", "major_incidents"), grain, "left")
+        weather.select(*grain, "avg_temp_celsius", "min_temp_celsius", "max_temp_celsius", "avg_humidity_pct",
+                       "total_rain_mm", "dominant_weather_main")
+        .join(others, grain, "full")
         .join(cities.select("city", "country"), "city", "left")
     )
     temp, aqi, flow = comfort_parts(F.col("avg_temp_celsius"), F.col("avg_aqi"), F.col("avg_congestion_score"))

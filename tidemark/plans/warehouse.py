@@ -278,6 +278,20 @@ class Warehouse:
         }
         inc.rebuild(built[name](), self.root, "marts", name)
 
+    def _require_landing(self) -> None:
+        """Landing must reach back as far as each stored intermediate table that is fed from it."""
+        for model in INTERMEDIATE:
+            name = model.table.name
+            stored = paths.partition_values(self.spark, self.path(name), model.table.partition)
+            stored = [d for d in stored if d != paths.NULL_VALUE]
+            for source in model.inputs.values():
+                feed = source.removeprefix("staging:")
+                if feed == source or not stored:
+                    continue
+                landed = paths.partition_values(self.spark, landing.landing_path(self.root, feed), landing.PARTITION)
+                if not landed or landed[0] > stored[0]:
+                    raise ValueError(f"{name} has days from {stored[0]} on, landing of {feed} does not: a rebuild loses them")
+
     def _together(self, jobs: list[Callable[[], None]], threads: int) -> None:
         """Submit independent models from a few threads, so that small ones overlap on the cluster."""
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -289,7 +303,7 @@ class Warehouse:
         days = self.written.get(name)
         if name not in INCREMENTAL or days is None:
             return self.table(name)
-        return self.table(name).filter(F.col(INCREMENTAL[name].table.partition).isin([date.fromisoformat(d) for d in days]))
+        return self.table(name).filter(paths.on_days(F.col(INCREMENTAL[name].table.partition), days))
 
     def test(self, suite: dict[str, TableTests], scope: str = "all") -> DataFrame:
         """Schema tests of whole tables, or with ``written`` of the days written last."""
@@ -311,7 +325,7 @@ class Warehouse:
         as_of: datetime,
         config: dict[str, DataFrame] | None = None,
         run_id: str | None = None,
-        full_refresh: bool = False,
+        full_refresh: bool | str = False,
         threads: int = 4,
         validate: bool = True,
         test: str = "written",
@@ -319,7 +333,15 @@ class Warehouse:
         """Gate, then intermediate, then marts, each layer followed by its schema tests.
 
         ``test`` is the scope of the schema tests: the days just ``written``, ``all`` rows, or ``none``.
+        ``full_refresh`` rebuilds the ``"marts"`` (also: True) from the intermediate tables. Those hold more than
+        landing does, so they are rebuilt only by ``"all"``, which refuses to drop days that landing no longer
+        has; ``"all_and_drop"`` does drop them.
         """
+        scope = "marts" if full_refresh is True else full_refresh or "none"
+        if scope not in ("none", "marts", "all", "all_and_drop"):
+            raise ValueError(f"unknown scope of a full refresh: {full_refresh}")
+        if scope == "all":
+            self._require_landing()
         result = None
         if config is not None:
             cfg.check_config(config)
@@ -328,7 +350,8 @@ class Warehouse:
                 result = contract.gate(self.spark, self.root, config, as_of, run_id)
 
         def incremental(*names: str) -> list[Callable[[], None]]:
-            return [lambda n=n: self.refresh(n, as_of, full_refresh) for n in names]
+            whole = scope.startswith("all") or scope == "marts" and not names[0].startswith("int_")
+            return [lambda n=n: self.refresh(n, as_of, whole) for n in names]
 
         def rebuilt(*names: str) -> list[Callable[[], None]]:
             return [lambda n=n: self.rebuild(n, as_of) for n in names]

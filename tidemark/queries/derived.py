@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import hour_of
 from tidemark.operators.staging import build_staging
-from tidemark.queries.registry import spread, table
+from tidemark.queries.registry import table
 from tidemark.sources.feeds import FEEDS
 from tidemark.sources.landing import PARTITION
 from tidemark.sources.mappings import FIELD_MAPPINGS
@@ -115,7 +115,7 @@ def syncs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp_ntz")
     value = F.col("value").cast("decimal(18,2)")
     both = F.explode(F.array(F.lit(0), F.lit(1))).alias("n")
-    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value", "props"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value", "props")
     base = events.select(
         "event_id", "user_id", "event_type", ts.alias("ts"), F.get_json_object("props", "$.k").cast("int").alias("k"),
         value.alias("value"), both,
@@ -255,12 +255,14 @@ BUILDERS = {
 
 
 def landing(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """Landing rows of a feed. Traffic covers the cities of some customers only."""
-    rows = syncs(spark, sf_dir)
-    if feed.startswith("traffic"):
-        covered = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin(*TRAFFIC_SEGMENTS))
-        rows = rows.join(covered.select(F.col("c_custkey").alias("user_id")), "user_id", "left_semi")
-    return BUILDERS[feed](rows)
+    """Landing rows of a feed: every event of every user."""
+    return BUILDERS[feed](syncs(spark, sf_dir))
+
+
+def covered(spark: SparkSession, sf_dir: str, flow: DataFrame) -> DataFrame:
+    """Traffic rows of the cities that count as covered: those of some customer segments only."""
+    some = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin(*TRAFFIC_SEGMENTS))
+    return flow.join(some.select(F.concat(F.lit("city-"), F.col("c_custkey").cast("string")).alias("city")), "city", "left_semi")
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:

@@ -29,7 +29,9 @@ MODELS: dict[str, Build] = {
     "int_city_hourly_traffic_flow": composed(m.hourly_traffic_flow, "stg_traffic_flow"),
     "int_city_hourly_traffic_incidents": composed(m.traffic_incidents, "stg_traffic_incidents"),
     "int_city_weather_forecast": composed(m.forecast_history, "stg_weather_forecast"),
-    "dim_city": composed(m.dim_city, "int_city_hourly_weather", "int_city_hourly_traffic_flow"),
+    "dim_city": lambda spark, sf: m.dim_city(
+        MODELS["int_city_hourly_weather"](spark, sf), d.covered(spark, sf, MODELS["int_city_hourly_traffic_flow"](spark, sf))
+    ),
     "fct_weather_daily": composed(m.weather_daily, "int_city_hourly_weather"),
     "fct_pollution_daily": composed(m.pollution_daily, "int_city_hourly_pollution"),
     "fct_traffic_daily": composed(m.traffic_daily, "int_city_hourly_traffic_flow", "int_city_hourly_traffic_incidents"),
@@ -56,7 +58,7 @@ def wide_city_day(spark: SparkSession, sf: str) -> DataFrame:
         m.weather_daily(weather),
         MODELS["fct_pollution_daily"](spark, sf),
         m.traffic_daily(flow, incidents),
-        m.dim_city(weather, flow),
+        m.dim_city(weather, d.covered(spark, sf, flow)),
     )
 
 

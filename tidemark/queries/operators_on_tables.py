@@ -17,6 +17,7 @@ from tidemark.functions.measures import (
     max_rounded,
     min_rounded,
     most_frequent,
+    ratio_rounded,
     rounded,
     share_rounded,
     sum_or_zero,
@@ -27,6 +28,7 @@ from tidemark.operators.dedupe import Ranking, keep_latest, latest_reading
 from tidemark.operators.rollup import distinct_counts, mode_and_means
 from tidemark.operators.staging import build_staging
 from tidemark.operators.trends import previous, prior_avg, rolling_avg
+from tidemark.plans.models import one_row_per
 from tidemark.queries import derived as d
 from tidemark.queries import oracle as o
 from tidemark.queries.registry import query, table
@@ -149,7 +151,7 @@ def extract_nested_object(spark, sf):
 
 @query(
     "tag_partition",
-    f"WITH {d.SYNCS_SQL} SELECT raw_id, c_name AS city, v_k.k FROM (SELECT raw_id, user_id, k FROM syncs) v_k JOIN customer ON c_custkey = user_id",
+    f"WITH {d.SYNCS_SQL} SELECT raw_id, c_name AS city, v_k.k FROM (SELECT raw_id, user_id, k FROM syncs) v_k LEFT JOIN customer ON c_custkey = user_id",
 )
 def tag_partition(spark, sf):
     """Records carry the id of the requested location; the location table names the city."""
@@ -308,16 +310,25 @@ F2_SQL = (
 )
 
 
+def _per_nation(facts: DataFrame, owner: str, owners: DataFrame, rows: str, measure: str, digits: int, **counts) -> DataFrame:
+    """Facts per nation and day. Each owner's day is summed before the join, so a hot owner is one row a day there."""
+    days = facts.groupBy(owner, "day").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(measure).alias("_sum"), F.count(measure).alias("_filled"),
+        *[F.count_if(c).alias(n) for n, c in counts.items()],
+    )
+    return days.join(owners, owner).groupBy("nation", "day").agg(
+        F.sum("_rows").alias(rows), ratio_rounded(F.sum("_sum"), F.sum("_filled"), digits).alias(f"avg_{measure}"),
+        *[F.sum(n).alias(n) for n in counts],
+    )
+
+
 def nation_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders per nation and day. A hot customer is left to the adaptive skew join, as no hint pins the join."""
     orders = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("day"),
         exact(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
     )
     customers = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
-    return orders.join(customers, "c_custkey").groupBy("nation", "day").agg(
-        F.count(F.lit(1)).alias("orders"), avg_rounded("total", 2).alias("avg_total")
-    )
+    return _per_nation(orders, "c_custkey", customers, "orders", "total", 2)
 
 
 def nation_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,9 +337,7 @@ def nation_items(spark: SparkSession, sf: str) -> DataFrame:
         exact(F.col("l_discount").cast("decimal(18,2)")).alias("discount"),
     )
     suppliers = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
-    return items.join(suppliers, "s_suppkey").groupBy("nation", "day").agg(
-        F.count(F.lit(1)).alias("items"), avg_rounded("discount", 3).alias("avg_discount")
-    )
+    return _per_nation(items, "s_suppkey", suppliers, "items", "discount", 3)
 
 
 @query(
@@ -425,14 +434,11 @@ def obt_daily(spark, sf):
     """Wide nation-day table over three daily facts of different coverage."""
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("nation"))
     events = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"), F.expr(d.CODE).alias("code"))
-    activity = events.join(customers, "user_id").groupBy("nation", "day").agg(
-        avg_rounded("code", 2).alias("avg_code"), F.count_if(F.col("code") >= 4).alias("poor")
-    )
+    activity = _per_nation(events, "user_id", customers, "events", "code", 2, poor=F.col("code") >= 4).drop("events")
     orders, items = nation_orders(spark, sf), nation_items(spark, sf)
     grain = ["nation", "day"]
-    base = orders.select(*grain).unionByName(items.select(*grain)).unionByName(activity.select(*grain)).distinct()
     names = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name"))
-    wide = base.join(orders, grain, "left").join(items, grain, "left").join(activity, grain, "left").join(names, "nation", "left")
+    wide = one_row_per(grain, orders, items, activity).join(names, "nation", "left")
     score = comfort_index(*comfort_parts(F.col("avg_total"), F.col("avg_code"), F.col("avg_discount")))
     return wide.withColumn("comfort_index", score).select(
         surrogate_key("nation", "day").alias("nation_date_key"), "nation", "name", "day", "orders", "items",

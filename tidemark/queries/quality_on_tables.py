@@ -260,10 +260,10 @@ OLD_DAY = "2023-01-01 00:00:00"
 
 
 def _accounts(spark: SparkSession, sf: str, half: str) -> DataFrame:
-    """Old half: customers with a positive balance. New half: those of two segments, with changes."""
+    """Old half: customers with a positive balance (``all``: any). New half: those of two segments, with changes."""
     c = table(spark, sf, "customer")
-    if half == "old":
-        return c.filter("c_acctbal > 0").select(
+    if half in ("old", "all"):
+        return (c if half == "all" else c.filter("c_acctbal > 0")).select(
             "c_custkey", "c_name", "c_nationkey", (F.col("c_mktsegment") != "MACHINERY").alias("is_active"),
             F.lit(OLD_DAY).cast("timestamp").alias("updated_at"),
         )
@@ -320,8 +320,8 @@ def cascade_delete(spark, sf):
 
 @query(
     "toggle_active",
-    f"WITH {_OLD} SELECT c_custkey, c_name, c_nationkey, is_active AND c_nationkey <> 3 AS is_active, "
+    f"WITH {_OLD.replace(' WHERE c_acctbal > 0', '')} SELECT c_custkey, c_name, c_nationkey, is_active AND c_nationkey <> 3 AS is_active, "
     f"CASE WHEN c_nationkey = 3 THEN TIMESTAMP '{TOUCHED}' ELSE updated_at END AS updated_at FROM o",
 )
 def toggle_active(spark, sf):
-    return maintain.toggle_active(_accounts(spark, sf, "old"), F.col("c_nationkey") == 3, False, TOUCHED)
+    return maintain.toggle_active(_accounts(spark, sf, "all"), F.col("c_nationkey") == 3, False, TOUCHED)

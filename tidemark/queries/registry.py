@@ -62,15 +62,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a table that arrives in fewer splits than there are cores.
-
-    Looks at the planned splits only. A large table has more splits than that and is left alone.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, 32)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result that several branches read to shared scratch space, and read it back.
 

@@ -122,12 +122,6 @@ def active_streams(config: dict[str, DataFrame]) -> DataFrame:
     return streams.join(on, "source_id").orderBy("stream_name")
 
 
-def active_fields(config: dict[str, DataFrame], stream: str) -> DataFrame:
-    """Active field mappings of a stream in projection order."""
-    stream_id = config["streams"].filter(F.col("stream_name") == stream).select("stream_id")
-    return config["field_mappings"].filter("is_active").join(stream_id, "stream_id").orderBy("ordinal")
-
-
 def active_rules(config: dict[str, DataFrame], stream: str) -> DataFrame:
     """Active rules of a stream, stream-level rules first."""
     stream_id = config["streams"].filter(F.col("stream_name") == stream).select("stream_id")

@@ -40,25 +40,26 @@ def _wrapped_ddl(feed: Feed) -> str:
 def extract_records(payloads: DataFrame, feed: str, payload: str = "payload", mode: str = "FAILFAST") -> DataFrame:
     """Response bodies to records: one row per array element, or the (nested) object itself.
 
-    Other columns of ``payloads`` are kept. A missing key reads as NULL; a value of the
-    wrong type fails the run, as a failing cast would.
+    Other columns of ``payloads`` are kept. A missing key reads as NULL, a body without the record gives no
+    row; a value of the wrong type fails the run, as a failing cast would.
     """
     spec = FEEDS[feed]
     kept = [c for c in payloads.columns if c != payload]
     parsed = payloads.select(*kept, F.from_json(F.col(payload), _wrapped_ddl(spec), {"mode": mode}).alias("_body"))
     record = F.col(".".join(("_body", *spec.record_path)))
     record = F.explode(record) if spec.records_are_array else record
-    return parsed.select(*kept, record.alias("_record")).select(*kept, "_record.*")
+    found = parsed.select(*kept, record.alias("_record")).filter(F.col("_record").isNotNull())
+    return found.select(*kept, "_record.*")
 
 
 def tag_partition(records: DataFrame, locations: DataFrame, on: str = "location_id") -> DataFrame:
-    """Add the city of the request to each record.
+    """Add the city of the request to each record; a record of an unknown location keeps a NULL city.
 
     No broadcast hint: a location table of known small size is broadcast by its own
     statistics, and a large one falls back to a shuffle join.
     """
     city = locations.select(on, "city")
-    return records.join(city, on, "inner").drop(on)
+    return records.join(city, on, "left").drop(on)
 
 
 def with_header(records: DataFrame, extracted_at: Column) -> DataFrame:
@@ -81,13 +82,18 @@ def append_snapshot(records: DataFrame, root: str, feed: str, extracted_at: date
     rows.write.mode("append").partitionBy(PARTITION).parquet(landing_path(root, feed))
 
 
-def newest_days(spark: SparkSession, root: str, feed: str, days: int = 2) -> DataFrame:
-    """Landing rows of the last extract days, found by folder name; holds the latest batch."""
-    present = paths.partition_values(spark, landing_path(root, feed), PARTITION)
+def newest_days(spark: SparkSession, root: str, feed: str, minutes: int = 5) -> DataFrame:
+    """Landing rows of the extract days that can hold the latest batch, found by folder name.
+
+    The newest extract lies on the newest day, so a window of ``minutes`` reaches back over as many days
+    as it touches at most.
+    """
+    present = [d for d in paths.partition_values(spark, landing_path(root, feed), PARTITION) if d != paths.NULL_VALUE]
     landing = read_landing(spark, root, feed)
     if not present:
         return landing
-    return landing.filter(F.col(PARTITION) > F.lit(date.fromisoformat(present[-1]) - timedelta(days=days)))
+    first = date.fromisoformat(present[-1]) - timedelta(days=-(-minutes // 1440))
+    return landing.filter(F.col(PARTITION) >= F.lit(first))
 
 
 def newest_extract(landing: DataFrame):

@@ -9,7 +9,7 @@ from tidemark.sources import paths
 READY, READY_ALL = "_READY", "_READY_ALL"
 
 
-def _write(df: DataFrame, path: str, partition: str) -> None:
+def write_days(df: DataFrame, path: str, partition: str) -> None:
     """Write one folder per date.
 
     The rebalance hint gathers each date before the write: without it every shuffle task would
@@ -28,6 +28,13 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, partition: str)
     _replace(spark, df, path, partition, READY_ALL)
 
 
+def replace_whole(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace a table without partitions; the old one stays until the new one is complete."""
+    swap = swap_path(path)
+    df.hint("rebalance").write.mode("overwrite").parquet(swap)
+    paths.move(spark, swap, path)
+
+
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions that ``df`` holds; it may read the table it replaces."""
     _replace(spark, df, path, partition, READY)
@@ -40,7 +47,7 @@ def _replace(spark: SparkSession, df: DataFrame, path: str, partition: str, mark
     half-done replacement.
     """
     swap = swap_path(path)
-    _write(df, swap, partition)
+    write_days(df, swap, partition)
     paths.touch(spark, f"{swap}/{marker}")
     finish_replacement(spark, path, partition)
 

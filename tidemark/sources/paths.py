@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+#: Fixed value: how Spark names the folder of rows whose partition column is NULL.
+NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -36,6 +41,13 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(unquote(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def on_days(column: Column, days: list[str]) -> Column:
+    """Whether a date column has one of these partition values, NULL among them."""
+    hit = column.isin([date.fromisoformat(d) for d in days if d != NULL_VALUE])
+    hit = F.coalesce(hit, F.lit(False))
+    return hit | column.isNull() if NULL_VALUE in days else hit
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
