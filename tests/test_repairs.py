@@ -88,3 +88,13 @@ def test_full_refresh_keeps_what_landing_no_longer_has(spark, root):
     assert house.table("int_city_hourly_pollution").count() == before
     with pytest.raises(ValueError, match="a rebuild loses them"):
         house.run(datetime(2026, 1, 5, 11), full_refresh="all", test="none")
+
+
+def test_one_stored_audit_row_is_resolved(spark, root):
+    rows = [("a", None, "batch", "missing", "error", 1, None, "x"), ("b", None, "batch", "missing", "error", 1, None, "y")]
+    runs = contract.as_runs(spark.createDataFrame(rows, contract.AUDIT_DDL), datetime(2026, 1, 5), "r")
+    contract.append_audit(runs, root)
+    stored = spark.read.parquet(contract.audit_path(root))
+    run_id = stored.filter("stream_name = 'a'").first()["run_id"]
+    assert contract.resolve_stored_run(spark, root, run_id, datetime(2026, 1, 6), "seen") == 1
+    assert h.rows(spark.read.parquet(contract.audit_path(root)), "stream_name", "resolved") == [("a", True), ("b", False)]

@@ -6,7 +6,7 @@ reads the final table, so that what is compared is what was stored.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +28,11 @@ CUTS = (datetime(2024, 1, 11), datetime(2024, 1, 21))
 END = datetime(2024, 3, 1)
 
 
-def _write(rows: DataFrame, root: str, feed: str) -> None:
-    rows.write.mode("append").partitionBy(land.PARTITION).parquet(land.landing_path(root, feed))
+def land_rows(rows: DataFrame, root: str, feed: str) -> None:
+    rows.hint("rebalance", land.PARTITION).write.mode("append").partitionBy(land.PARTITION).parquet(land.landing_path(root, feed))
 
 
-def _slices(rows: DataFrame):
+def slices(rows: DataFrame):
     """The three batches by extract time, with the time of each run."""
     at = F.col("extracted_at")
     edges = [ntz(c).cast("timestamp") for c in CUTS]
@@ -44,10 +44,10 @@ def _slices(rows: DataFrame):
 def load(spark: SparkSession, sf: str, feeds: tuple[str, ...], models: tuple[str, ...], replay: bool = False, last=END) -> Warehouse:
     """Append each batch to landing and refresh the models after it."""
     house = Warehouse(spark, scratch_dir(spark, "incremental"))
-    batches = {feed: list(_slices(d.landing(spark, sf, feed))) for feed in feeds}
+    batches = {feed: list(slices(d.landing(spark, sf, feed))) for feed in feeds}
     for i in range(len(CUTS) + 1):
         for feed in feeds:
-            _write(batches[feed][i][1], house.root, feed)
+            land_rows(batches[feed][i][1], house.root, feed)
         as_of = min(batches[feeds[0]][i][0], last)
         for model in models:
             house.refresh(model, as_of)
@@ -111,6 +111,15 @@ def incr_alerts(spark, sf):
     return final(house, "mart_pollution_alerts", MODELS["mart_pollution_alerts"](spark, sf))
 
 
+@query("expire_snapshot", model_sql("mart_forecast_latest"), nullable("mart_forecast_latest"))
+def expire_snapshot(spark, sf):
+    """A snapshot that was stored days before is rebuilt: what has expired since is gone."""
+    house = load(spark, sf, ("weather_forecast",), ("int_city_weather_forecast",))
+    for as_of in (d.AS_OF - timedelta(days=5), d.AS_OF):
+        house.rebuild("mart_forecast_latest", as_of)
+    return final(house, "mart_forecast_latest", MODELS["mart_forecast_latest"](spark, sf))
+
+
 PRUNE_AT = datetime(2024, 1, 20, 9, 30)
 
 
@@ -121,7 +130,7 @@ PRUNE_AT = datetime(2024, 1, 20, 9, 30)
 def prune_landing(spark, sf):
     """Old extract days are dropped as folders, the boundary day is rewritten."""
     root = scratch_dir(spark, "prune")
-    _write(d.landing(spark, sf, "current_weather"), root, "current_weather")
+    land_rows(d.landing(spark, sf, "current_weather"), root, "current_weather")
     land.prune(spark, root, "current_weather", PRUNE_AT)
     return land.read_landing(spark, root, "current_weather").select("raw_id", "city", "extracted_at")
 
