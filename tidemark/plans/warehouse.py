@@ -221,6 +221,7 @@ class Warehouse:
     root: str
     mappings: dict[str, list] = field(default_factory=lambda: dict(FIELD_MAPPINGS))
     compare_existing: bool = True
+    calendar_start: date = CALENDAR_START
     written: dict[str, list[str] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -267,7 +268,7 @@ class Warehouse:
         t = self.table
         built = {
             "dim_city": lambda: m.dim_city(t("int_city_hourly_weather"), t("int_city_hourly_traffic_flow")),
-            "dim_date": lambda: dims.dim_date(self.spark, CALENDAR_START, as_of.date() + CALENDAR_AHEAD),
+            "dim_date": lambda: dims.dim_date(self.spark, self.calendar_start, as_of.date() + CALENDAR_AHEAD),
             "dim_hour": lambda: dims.dim_hour(self.spark),
             "mart_city_daily": lambda: m.city_daily(
                 t("fct_weather_daily"), t("fct_pollution_daily"), t("fct_traffic_daily"), t("dim_city")
