@@ -14,6 +14,7 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -30,32 +31,73 @@ from tidemark.llm.common import written
 
 CAPACITY, END = 4096, 1
 #: Token ids of words that a task remembers before it starts over: bounds a task's memory.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+
+
+#: A word between others, to tell their ids apart where many are encoded in one call.
+_BETWEEN = "\u2605"
 
 
 @cache
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    return Tokenizer.from_file(path), {}
+def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes], list[int]]:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    tokenizer = Tokenizer.from_file(path)
+    marks = {c: tokenizer.encode(c, add_special_tokens=False).ids for c in (".", ",")}
+    known = {c.encode(): np.asarray(ids, "<u4").tobytes() for c, ids in marks.items()}
+    return tokenizer, known, tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+
+
+def _learn(fresh: set[bytes], path: str) -> None:
+    """Encodes words: most of them in long lines, each between two marks whose id is their own."""
+    tokenizer, known, between = _tokenizer(path)
+    plain, odd = [], []
+    for w in fresh:
+        simple = w.isascii() and b"<|" not in w or w.decode().isalpha()
+        (plain if simple and len(between) == 1 else odd).append(w)
+    for begin in range(0, len(plain), 20_000):
+        some = plain[begin : begin + 20_000]
+        lines = [some[i : i + 100] for i in range(0, len(some), 100)]
+        space = f" {_BETWEEN} "
+        encoded = tokenizer.encode_batch_fast([b"\0".join(x).decode().replace("\0", space) for x in lines], add_special_tokens=False)
+        for line, e in zip(lines, encoded):
+            ids = np.asarray(e.ids, "<u4")
+            cuts = np.flatnonzero(ids == between[0])
+            known.update(zip(line, (part.tobytes() for part in _parts(ids, cuts))))
+    for begin in range(0, len(odd), 1000):
+        some = odd[begin : begin + 1000]
+        encoded = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+        known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
+
+
+def _parts(ids: np.ndarray, cuts: np.ndarray) -> Iterator[np.ndarray]:
+    begin = 0
+    for cut in (*cuts, len(ids)):
+        yield ids[begin:cut]
+        begin = cut + 1
 
 
 def _encode(texts: list[str], path: str) -> Iterator[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins across ASCII white space and lower-cases what is not a special token, so the
-    ids of a text are those of its words in turn. Words are encoded once while a task remembers them.
+    ids of a text are those of its words in turn. Words are encoded once while a task remembers them; a full
+    stop or comma after a letter is a token of its own, so such words are put together from two.
     """
-    tokenizer, known = _tokenizer(path)
+    _, known, _ = _tokenizer(path)
     if len(known) > REMEMBERED:
+        marks = {c: known[c] for c in (b".", b",")}
         known.clear()
+        known.update(marks)
     split = []
     for text in texts:
         raw = text.encode("utf-8", "replace")
         split.append((raw if b"<|" in raw else raw.lower()).split())
-    fresh = list({w for found in split for w in found if w not in known})
-    for begin in range(0, len(fresh), 5000):
-        some = fresh[begin : begin + 5000]
-        encoded = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-        known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
+    fresh = {w for found in split for w in found if w not in known}
+    ended = {w for w in fresh if w[-1] in b".," and len(w) > 1 and 97 <= w[-2] <= 122 and b"<|" not in w}
+    fresh -= ended
+    fresh.update(x for w in ended if (x := w[:-1]) not in known)
+    _learn(fresh, path)
+    known.update((w, known[w[:-1]] + known[w[-1:]]) for w in ended)
     for found in split:
         yield b"".join(map(known.__getitem__, found))
 
