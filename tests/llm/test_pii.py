@@ -82,6 +82,29 @@ def test_redaction(spark, docs_of):
     assert got == {1: "write [EMAIL] or [IP], card [CARD], [PHONE]; 1.2.3.999", 2: None, 3: "clean"}
 
 
+def test_redaction_masks_what_spans_confirm(spark, docs_of):
+    docs = docs_of(
+        [
+            (1, "ssn 123-45-6789"),
+            (2, "part 123-45-6789"),
+            (3, "+123-45-6789 is the ssn é𝒳 of a.b@c.de"),
+            (4, "4111 1111 1111 1111 10.0.0.1"),
+            (5, "a.b@10.0.0.1 10.0.0.2 iban DE89370400440532013000."),
+            (6, "+378282246310005"),
+        ]
+    )
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert got[1] == "ssn [SSN]" and got[2] == "part 123-45-6789"
+    assert got[3] == "[PHONE] is the ssn é𝒳 of [EMAIL]"
+    assert got[4] == "[CARD] [IP]" and got[5] == "[EMAIL] [IP] iban [IBAN]." and got[6] == "[CARD]"
+
+
+def test_redaction_of_many_spans(spark, docs_of):
+    docs = docs_of([(1, "1." * 20_000), (2, "ssn 123-45-6789 " * 2000)])
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert got[1] == "[IP]." * 5000 and got[2] == "ssn [SSN] " * 2000
+
+
 def test_long_and_hostile_texts(spark):
     texts = ["a" * 200_000, "1" * 200_000, "1 " * 100_000, "a@b" + ".c" * 50_000, "+1" * 100_000, "1." * 100_000, "a.b-c%" * 40_000 + "@"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")

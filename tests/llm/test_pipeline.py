@@ -5,12 +5,13 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_contamination import tables  # noqa: F401
 from tests.llm.test_jaccard import _brute
 from tests.llm.test_pii import _base
-from tidemark.llm import languages
+from tidemark.llm import languages, pii
 from tidemark.llm.common import written
 
 
@@ -68,6 +69,14 @@ def test_personal_data_stage(steps):
             assert r["text"] == before[r["doc_id"]]["text"]
 
 
+def test_personal_data_stage_weighs_context(spark, docs_of):
+    texts = {1: "ssn 123-45-6789 of a person", 2: "part 123-45-6789", 3: None, 4: "social security: 123-45-6789, a@b.cc"}
+    rows = corpus_pipeline.personal_data_stage(spark, docs_of(list(texts.items())), "").collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == texts | {1: "ssn [SSN] of a person", 4: "social security: [SSN], [EMAIL]"}
+    left = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id bigint, text string")
+    assert left.where(F.size(pii.spans(F.col("text"))) > 0).count() == 0
+
+
 def test_packing_stage_and_run(spark, sf, steps):
     assert {r["doc_id"] for r in steps[5]} == {r["doc_id"] for r in steps[4]}
     key = ("doc_id", "piece", "start", "length", "ids_crc32")

@@ -193,13 +193,47 @@ def _masked(text: Column, kind: Kind) -> Column:
     return F.when(kind.hint(text), joined).otherwise(text)
 
 
+def _confirmed_masked(text: Column) -> Column:
+    """The text with the spans of spans() replaced; those that overlap are one, named after the highest score."""
+    number = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k.name, i)])
+    ordered = F.array_sort(
+        F.transform(
+            spans(text),
+            lambda x: F.struct(x["start"], x["end"], (-x["score"]).alias("rank"), number[x["kind"]].alias("kind")),
+        )
+    )
+    names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
+    nothing = F.expr("cast(array() as array<string>)")
+
+    def done(s: Column) -> Column:
+        """The finished parts with the mask of the span that is still open."""
+        return F.when(s["kind"] < 0, s["done"]).otherwise(F.array_append(s["done"], F.get(names, s["kind"])))
+
+    def join(s: Column, x: Column) -> Column:
+        apart = x["start"] >= s["at"]
+        gap = F.substr(text, s["at"] + 1, x["start"] - s["at"])
+        better = apart | (x["rank"] < s["rank"]) | ((x["rank"] == s["rank"]) & (x["kind"] < s["kind"]))
+        return F.struct(
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.when(better, x["rank"]).otherwise(s["rank"]).alias("rank"),
+            F.when(better, x["kind"]).otherwise(s["kind"]).alias("kind"),
+            F.when(apart, F.array_append(done(s), gap)).otherwise(s["done"]).alias("done"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("rank"), F.lit(-1).alias("kind"), nothing.alias("done"))
+    return F.aggregate(
+        ordered, start, join, lambda s: F.concat(F.array_join(done(s), ""), F.substr(text, s["at"] + 1))
+    )
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Replaces confirmed spans in the column ``text``, kind after kind in the order of KINDS.
+    """Replaces the spans that spans() confirms in the column ``text``, then what appears beside the masks.
 
-    Each kind sees what the kinds before it left. Kinds whose score without context is below THRESHOLD
-    are not masked here, as masking does not weigh context.
+    A mask may end a run of digits that was too long for its kind before. So the kinds that need no context
+    are masked once more, kind after kind in the order of KINDS, each in what the kinds before it left.
     """
     out = docs.withColumn(text, F.col(text).cast("string"))
+    out = out.withColumn(text, _confirmed_masked(F.col(text)))
     for kind in KINDS:
         if kind.base or kind.score >= THRESHOLD:
             out = out.withColumn(text, _masked(F.col(text), kind))
