@@ -96,6 +96,24 @@ def test_words_encode_like_texts():
     assert [np.frombuffer(b, "<u4").tolist() for b in packing._encode(texts, PATH)] == expected
 
 
+def test_words_with_nul_keep_their_ids_and_their_neighbours():
+    texts = ["xq a\0b yq zq", "nul\0 \0 \0\0end, other. words", "★ a★b \0★\0 last", "tail after them"]
+    expected = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    packing._tokenizer.cache_clear()
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing._encode(texts, PATH)] == expected
+
+
+@pytest.mark.parametrize("mark", ["a", "qqzzxxqq"])
+def test_lines_that_do_not_come_apart_are_encoded_by_word(monkeypatch, mark):
+    """Marks that words of the line hold as well, or whose id is not one."""
+    monkeypatch.setattr(packing, "_BETWEEN", mark)
+    packing._tokenizer.cache_clear()
+    texts = ["b a c", "a", "d a e f"]
+    expected = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing._encode(texts, PATH)] == expected
+    packing._tokenizer.cache_clear()
+
+
 def test_remembered_words_are_bounded(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 10)
     for _ in range(3):

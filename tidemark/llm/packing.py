@@ -48,20 +48,26 @@ def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes], list[int]]:
 
 
 def _learn(fresh: set[bytes], path: str) -> None:
-    """Encodes words: most of them in long lines, each between two marks whose id is their own."""
+    """Encodes words: most of them in long lines, each between two marks whose id is their own.
+
+    A line that does not fall into as many parts as it has words is encoded word by word.
+    """
     tokenizer, known, between = _tokenizer(path)
     plain, odd = [], []
     for w in fresh:
-        simple = w.isascii() and b"<|" not in w or w.decode().isalpha()
+        simple = w.isascii() and b"<|" not in w and b"\0" not in w or w.decode().isalpha()
         (plain if simple and len(between) == 1 else odd).append(w)
+    space = f" {_BETWEEN} ".encode()
     for begin in range(0, len(plain), 20_000):
         some = plain[begin : begin + 20_000]
         lines = [some[i : i + 100] for i in range(0, len(some), 100)]
-        space = f" {_BETWEEN} "
-        encoded = tokenizer.encode_batch_fast([b"\0".join(x).decode().replace("\0", space) for x in lines], add_special_tokens=False)
+        encoded = tokenizer.encode_batch_fast([space.join(x).decode() for x in lines], add_special_tokens=False)
         for line, e in zip(lines, encoded):
             ids = np.asarray(e.ids, "<u4")
             cuts = np.flatnonzero(ids == between[0])
+            if len(cuts) + 1 != len(line):
+                odd += line
+                continue
             known.update(zip(line, (part.tobytes() for part in _parts(ids, cuts))))
     for begin in range(0, len(odd), 1000):
         some = odd[begin : begin + 1000]
