@@ -29,6 +29,32 @@ def test_page_without_article_element():
     assert html_text.main_text(page) == "The head\n\nA first paragraph, long enough to count as text.\n\nShort."
 
 
+LONG = "This paragraph of the text says what there is to say, at the length of a usual sentence, and then it ends."
+
+
+@pytest.mark.parametrize("around", ["<body><nav><a href=/>Home</a></nav><article>{}</article></body>", "<body><div>{}</div></body>"])
+@pytest.mark.parametrize(
+    "begin", ['<section id="search-algorithms"><h2>', '<section><h2 id="related-work">', '<section id="how-to-share-a-form"><h2 class="header">',
+              '<div class="post-header"><h2>', '<section><h2 id="search">']
+)
+def test_slugs_and_headings_with_names_stay(around, begin):
+    end = "</div>" if begin.startswith("<div") else "</section>"
+    page = around.format(f"<p>{LONG}</p>{begin}Three tides</h2><p>{LONG}</p><p>Short.</p>{end}<p>{LONG}</p>")
+    assert html_text.main_text(page) == "\n\n".join([LONG, "Three tides", LONG, "Short.", LONG])
+
+
+@pytest.mark.parametrize("name", ["class=notice", "id=search", "id=form", "class='widget text'"])
+def test_names_in_an_article_can_be_outweighed(name):
+    page = f"<article><p>{LONG}</p><div {name}><p>{LONG}</p></div></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("name", ["class=ad-slot", "class='box cookie-bar'", "id=comments", "class=footer-links", "class=related-posts", "id=sidebar2"])
+def test_named_places_go(name):
+    page = f"<body><div {name}><p>A short text that stands beside the article.</p></div><div><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert html_text.main_text(page) == f"Head\n\n{LONG}\n\n{LONG}"
+
+
 @pytest.mark.parametrize(
     "page", [None, "", "<", "<p", "<p" * 3000, "</p></div>", "<a href='x", '<p title="a>b', "<script>x", "<!-- x", "<div>" * 2000, "&am"]
 )

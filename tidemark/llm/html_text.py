@@ -50,10 +50,29 @@ NAMES = frozenset(
     "disqus share sharing social related recommended subscribe subscription newsletter signup login popup modal overlay "
     "widget pagination pager copyright disclaimer toolbar form search skip".split()
 )
+# Those of NAMES that are also what articles are about, and the words that go with names of places.
+TOPICS = frozenset(
+    "promotion banner cookie cookies consent notice menu navigation footer header comment reply replies share sharing social "
+    "related recommended subscription signup login modal overlay widget copyright disclaimer form search skip".split()
+)
+LAYOUT = frozenset(
+    "area bar blog block body box bottom btn button buttons card cards container content entry form global group holder icon "
+    "icons inner item items left line link links list main outer page panel post posts article articles stories right row "
+    "section site slot story text to top unit wrap wrapper".split()
+)
+HEADED = frozenset("article entry post section story".split())
+#: How much a name counts by (only layout words beside it, only topics, is an id, inside an article or main element).
+NAMED = {
+    (True, False, False, False): 1.0, (True, False, False, True): 1.0, (True, False, True, False): 1.0, (True, False, True, True): 1.0,
+    (True, True, False, False): 1.0, (True, True, False, True): 0.6, (True, True, True, False): 0.6, (True, True, True, True): 0.15,
+    (False, False, False, False): 0.8, (False, False, False, True): 0.6, (False, True, False, False): 0.5, (False, True, False, True): 0.25,
+}
+#: How much a name counts among other words of an id, which may be the slug of a heading, and a class of headings and paragraphs.
+SLUG = 0.15
 
 # The classifier: what each feature adds to the score (positive: content).
 WEIGHTS = {
-    "bias": -0.6, "apart": -12.0, "main": 3.0, "paragraph": 1.2, "heading": 0.4, "item": -0.4,
+    "bias": -0.6, "apart": -12.0, "named": -6.5, "main": 3.0, "paragraph": 1.2, "heading": 0.4, "item": -0.4,
     "words": 0.9, "sentence": 0.8, "links": -4.0,
 }
 #: The feature ``main`` of all blocks of a page that has neither an article nor a main element.
@@ -70,6 +89,7 @@ class Block:
     path: tuple[int, ...]
     tag: str
     apart: bool
+    named: float
     main: float
     linked: int
     score: float = field(default=0.0)
@@ -88,18 +108,39 @@ def _marks_apart(tag: str, attributes: str, in_main: bool) -> bool:
             return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        if name in ("class", "id") and tag not in ("article", "main"):
-            if not NAMES.isdisjoint(x.lower() for x in _NAME.findall(value)):
-                return True
     return False
 
 
+def _named(tag: str, attributes: str, in_main: bool) -> float:
+    """How much the classes and the id of an element say that it is boilerplate, from 0 to 1."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return 0.0
+    most = 0.0
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name not in ("class", "id"):
+            continue
+        for token in value.split():
+            words = {x.lower() for x in _NAME.findall(token) if not x.isdigit()}
+            names = words & NAMES
+            if in_main or words & HEADED:
+                names.discard("header")
+            if not names:
+                continue
+            if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+                most = max(most, SLUG if name == "class" else 0.0)
+            else:
+                kind = (words <= NAMES | LAYOUT, names <= TOPICS, name == "id", in_main)
+                most = max(most, NAMED.get(kind, SLUG))
+    return most
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks of text in page order: decoded, white space folded, empty ones left out."""
     page = page or ""
     found: list[Block] = []
-    # open elements: tag, number, is apart, is main
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # open elements: tag, number, is apart, is main, how much names count
+    stack: list[tuple[str, int, bool, bool, float]] = [("", 0, False, False, 0.0)]
     anywhere = False
     count, text, linked, links = 0, [], 0, 0
 
@@ -107,10 +148,10 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         joined = " ".join("".join(text).split())
         if joined:
-            _, _, apart, main = stack[-1]
+            _, _, apart, main, named = stack[-1]
             path = tuple(e[1] for e in stack)
             tag = next((e[0] for e in reversed(stack) if e[0] in BLOCK), "")
-            found.append(Block(joined, path, tag, apart, main, min(linked, len(joined))))
+            found.append(Block(joined, path, tag, apart, named, main, min(linked, len(joined))))
         text.clear()
         linked = 0
 
@@ -167,13 +208,14 @@ def blocks(page: str | None) -> list[Block]:
             close(tag)
         if tag in BLOCK:
             flush()
-        _, _, apart, main = stack[-1]
+        _, _, apart, main, named = stack[-1]
         main = main or tag in ("article", "main")
         anywhere = anywhere or main
         count += 1
         links += tag == "a"
         if not attributes.endswith("/") or tag in BLOCK:
-            stack.append((tag, count, apart or _marks_apart(tag, attributes, main), main))
+            apart = apart or _marks_apart(tag, attributes, main)
+            stack.append((tag, count, apart, main, max(named, _named(tag, attributes, main))))
         else:
             links -= tag == "a"
     flush()
@@ -187,6 +229,7 @@ def features(b: Block) -> dict[str, float]:
     return {
         "bias": 1.0,
         "apart": float(b.apart),
+        "named": b.named,
         "main": b.main,
         "paragraph": float(b.tag in ("p", "pre", "blockquote", "dd")),
         "heading": float(b.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
