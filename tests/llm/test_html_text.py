@@ -55,6 +55,34 @@ def test_named_places_go(name):
     assert html_text.main_text(page) == f"Head\n\n{LONG}\n\n{LONG}"
 
 
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [("so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds", "so E=m holds"), ("a <object>stand-in</object> b", "a stand-in b"),
+     ("go <svg><title>up</title><path/></svg> home", "go up home"), ("x<noscript> y </noscript>z", "x y z"), ("x<canvas></canvas>y", "x y"),
+     ("x<select><option>A<option>B</select>y", "x y")],
+)
+def test_embedded_text_stays_in_its_paragraph(inner, text):
+    assert html_text.main_text(f"<article><p>{LONG}</p><p>{inner}</p></article>") == f"{LONG}\n\n{text}"
+
+
+@pytest.mark.parametrize("tag", ["object", "noscript"])
+def test_stand_ins_that_read_like_the_article_stay(tag):
+    assert html_text.main_text(f"<article><{tag}><p>{LONG}</p></{tag}></article>") == LONG
+
+
+@pytest.mark.parametrize("tag", ["video", "button", "template", "canvas"])
+def test_controls_and_notes_on_players_go(tag):
+    page = f"<article><p>{LONG}</p><div><{tag}>Your browser does not support this.</{tag}></div><p>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("tag", ["button", "video", "object", "svg", "math", "select", "template", "noscript", "canvas", "audio"])
+@pytest.mark.parametrize("later", ["", "<div><{0}>Later</{0}></div>"])
+def test_an_unclosed_element_drops_nothing_after_it(tag, later):
+    page = f"<body><article><p>{LONG}</p><{tag} class=x><p>{LONG}</p><p>Short.</p></article>{later.format(tag)}</body>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}\n\nShort."
+
+
 @pytest.mark.parametrize(
     "page", [None, "", "<", "<p", "<p" * 3000, "</p></div>", "<a href='x", '<p title="a>b', "<script>x", "<!-- x", "<div>" * 2000, "&am"]
 )

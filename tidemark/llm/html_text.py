@@ -38,7 +38,14 @@ BLOCK = frozenset(
     "title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style textarea noscript template svg math iframe object select button canvas audio video".split())
+#: Elements whose content is no markup.
+RAW = frozenset("script style textarea iframe".split())
+#: What a form control with options holds up to its end tag.
+_OPTIONS = re.compile(r"(?:[^<]++|</?(?:option|optgroup|hr)\b[^>]*+>)*+</select\b[^>]*>", re.I)
+#: How much the text of controls and of what stands in for other media counts as boilerplate.
+EMBEDDED = {
+    "button": 1.0, "select": 1.0, "template": 1.0, "video": 0.85, "audio": 0.85, "canvas": 0.85, "svg": 0.5, "noscript": 0.5, "object": 0.5,
+}
 CELL = frozenset("br td th img wbr".split())
 CLOSES_P = BLOCK - {"html", "head", "body", "option", "legend", "summary", "title", "tr", "tbody", "thead", "tfoot"}
 # Elements, roles and name parts that mark boilerplate.
@@ -72,7 +79,7 @@ SLUG = 0.15
 
 # The classifier: what each feature adds to the score (positive: content).
 WEIGHTS = {
-    "bias": -0.6, "apart": -12.0, "named": -6.5, "main": 3.0, "paragraph": 1.2, "heading": 0.4, "item": -0.4,
+    "bias": -0.6, "apart": -12.0, "named": -6.5, "embedded": -6.0, "main": 3.0, "paragraph": 1.2, "heading": 0.4, "item": -0.4,
     "words": 0.9, "sentence": 0.8, "links": -4.0,
 }
 #: The feature ``main`` of all blocks of a page that has neither an article nor a main element.
@@ -92,6 +99,7 @@ class Block:
     named: float
     main: float
     linked: int
+    embedded: float
     score: float = field(default=0.0)
 
 
@@ -143,6 +151,11 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, int, bool, bool, float]] = [("", 0, False, False, 0.0)]
     anywhere = False
     count, text, linked, links = 0, [], 0, 0
+    # open embedded elements by number; the numbers of those with an end tag; their characters in this and in each block
+    embeds: dict[int, str] = {}
+    ended: dict[int, str] = {}
+    inside: dict[int, int] = {}
+    held: list[dict[int, int]] = []
 
     def flush() -> None:
         nonlocal linked
@@ -151,8 +164,10 @@ def blocks(page: str | None) -> list[Block]:
             _, _, apart, main, named = stack[-1]
             path = tuple(e[1] for e in stack)
             tag = next((e[0] for e in reversed(stack) if e[0] in BLOCK), "")
-            found.append(Block(joined, path, tag, apart, named, main, min(linked, len(joined))))
+            found.append(Block(joined, path, tag, apart, named, main, min(linked, len(joined)), 0.0))
+            held.append(dict(inside))
         text.clear()
+        inside.clear()
         linked = 0
 
     def close(tag: str) -> None:
@@ -162,6 +177,11 @@ def blocks(page: str | None) -> list[Block]:
                 if tag in BLOCK or any(e[0] in BLOCK for e in stack[i:]):
                     flush()
                 links -= sum(e[0] == "a" for e in stack[i:])
+                if tag in EMBEDDED:
+                    ended[stack[i][1]] = tag
+                    text.append(" ")
+                while embeds and next(reversed(embeds)) >= stack[i][1]:
+                    embeds.popitem()
                 del stack[i:]
                 return
 
@@ -171,6 +191,9 @@ def blocks(page: str | None) -> list[Block]:
         text.append(chunk)
         if links:
             linked += len(chunk)
+        if embeds and not chunk.isspace():
+            number = next(reversed(embeds))
+            inside[number] = inside.get(number, 0) + len(chunk)
 
     at = 0
     while at < len(page):
@@ -185,16 +208,22 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag == "title" and "svg" in embeds.values():
+            tag = "svg:title"  # names a picture, not the page
         if ending:
             if tag in BLOCK or tag not in VOID:
                 close(tag)
             continue
-        if tag in OPAQUE and not attributes.endswith("/"):
+        if tag in RAW and not attributes.endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             text.append(" ")
             continue
-        if tag in CELL:
+        if tag == "select" and (control := _OPTIONS.match(page, at)):
+            at = control.end()
+            text.append(" ")
+            continue
+        if tag in CELL or tag in EMBEDDED:
             text.append(" ")
         if tag in VOID:
             if tag in BLOCK:
@@ -216,9 +245,14 @@ def blocks(page: str | None) -> list[Block]:
         if not attributes.endswith("/") or tag in BLOCK:
             apart = apart or _marks_apart(tag, attributes, main)
             stack.append((tag, count, apart, main, max(named, _named(tag, attributes, main))))
+            if tag in EMBEDDED:
+                embeds[count] = tag
         else:
             links -= tag == "a"
     flush()
+    for b, numbers in zip(found, held):  # an element that is never closed is read as its tag alone
+        shares = {x: EMBEDDED[ended[x]] * n / len(b.text) for x, n in numbers.items() if x in ended}
+        b.embedded = min(sum(shares.values()), max((EMBEDDED[ended[x]] for x in shares), default=0.0))
     for b in found:  # without such an element the whole page may be the article
         b.main = float(b.main) if anywhere else NO_MAIN
     return found
@@ -230,6 +264,7 @@ def features(b: Block) -> dict[str, float]:
         "bias": 1.0,
         "apart": float(b.apart),
         "named": b.named,
+        "embedded": b.embedded,
         "main": b.main,
         "paragraph": float(b.tag in ("p", "pre", "blockquote", "dd")),
         "heading": float(b.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
