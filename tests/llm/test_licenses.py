@@ -61,6 +61,29 @@ def test_no_expression(text):
     assert licenses.parse(text) is None
 
 
+@pytest.mark.parametrize(
+    ("expression", "expected"),
+    [("MIT  or (a and b)".lower(), "mit or a and b"), ("((a or b)) and c", "(a or b) and c"), ("(a or b) with c", "(a or b) with c"),
+     ("a and (b and c)", "a and b and c"), ("a with (b with c)", "a with (b with c)")],
+)
+def test_normal_form(expression, expected):
+    tree = licenses.parse(expression)
+    assert licenses.written(tree) == expected
+    assert licenses.written(licenses.parse(expected)) == expected
+
+
+def test_long_expressions():
+    names = [f"x{i}" for i in range(5000)]
+    pairs = " and ".join(f"(a{i} or b{i})" for i in range(3000))
+    for line in (" and ".join(names), " or ".join(names), " or (".join(names) + ")" * 4999, pairs):
+        found = licenses.scan(f"SPDX-License-Identifier: {line}\n mit license")
+        assert len(found["labels"]) == line.count(" or ") + line.count(" and ") + 2
+        assert len(found["expressions"]) == 1 and found["n_words"] > 3000
+    assert found["expressions"] == [pairs]
+    assert licenses.choices(licenses.parse(" and ".join(names))) == [frozenset(names)]
+    assert len(licenses.choices(licenses.parse("(a or b) and (c or d) with e"))) == 4
+
+
 def test_clashing_name(docs_of):
     with pytest.raises(ValueError):
         licenses.with_licenses(docs_of([]).withColumnRenamed("source", "Licenses"))

@@ -105,24 +105,55 @@ def parse(expression: str) -> tuple | None:
 
 def ids(tree) -> list[str]:
     """Licence ids of a parsed expression, from left to right; exceptions after WITH are no licences."""
-    if isinstance(tree, str):
-        return [tree]
-    operator, left, right = tree
-    return ids(left) + ([] if operator == "with" else ids(right))
+    found, left = [], [tree]
+    while left:
+        tree = left.pop()
+        if isinstance(tree, str):
+            found.append(tree)
+            continue
+        operator, one, other = tree
+        if operator != "with":
+            left.append(other)
+        left.append(one)
+    return found
+
+
+def written(tree) -> str:
+    """A parsed expression in normal form: single spaces, no parentheses beyond those it needs."""
+    found, left = [], [(tree, 0)]
+    while left:
+        tree, around = left.pop()
+        if isinstance(tree, str):
+            found.append(tree)
+            continue
+        operator, one, other = tree
+        own = PRECEDENCE[operator]
+        parts = [(one, own), (f" {operator} ", 0), (other, own + (operator == "with"))]
+        left += reversed([("(", 0), *parts, (")", 0)] if own < around else parts)
+    return "".join(found)
 
 
 def choices(tree) -> list[frozenset[str]]:
-    """Evaluates an expression: the sets of licences (id, or id with exception) that satisfy it, fewest first."""
-    if isinstance(tree, str):
-        return [frozenset([tree])]
-    operator, left, right = tree
-    if operator == "with":
-        return [frozenset(f"{x}-with-{right}" for x in s) for s in choices(left)]
-    if operator == "or":
-        found = {*choices(left), *choices(right)}
-    else:
-        found = {a | b for a in choices(left) for b in choices(right)}
-    return sorted(found, key=lambda s: (len(s), sorted(s)))
+    """Evaluates an expression: the sets of licences (id, or id with exception) that satisfy it, fewest first.
+
+    Their number may grow as two to the number of alternatives, so scans do not ask for them.
+    """
+    values: list[set[frozenset[str]]] = []
+    left = [(tree, False)]
+    while left:
+        tree, ready = left.pop()
+        if isinstance(tree, str):
+            values.append({frozenset([tree])})
+            continue
+        operator, one, other = tree
+        if not ready:
+            left += [(tree, True), (one, False)] if operator == "with" else [(tree, True), (other, False), (one, False)]
+        elif operator == "with":
+            values.append({frozenset(f"{x}-with-{written(other)}" for x in s) for s in values.pop()})
+        else:
+            right = values.pop()
+            values.append(values.pop() | right if operator == "or" else {a | b for a in values.pop() for b in right})
+    return sorted(values[0], key=lambda s: (len(s), sorted(s)))
 
 
 @cache
@@ -172,24 +203,24 @@ def scan(text: str | None) -> dict:
     evidence = len(places) + notices + 2 * len(expressions)
     return {
         "n_words": len(found), "places": places, "base_labels": sorted(base), "labels": sorted(labels),
-        "choices": ["|".join("+".join(sorted(s)) for s in choices(t)) for t in expressions],
+        "expressions": [written(t) for t in expressions],
         "score": 1 - 0.5**evidence if labels else 0.0,
     }
 
 
 _SCHEMA = (
     "struct<n_words:bigint,places:array<bigint>,base_labels:array<string>,labels:array<string>,"
-    "choices:array<string>,score:double>"
+    "expressions:array<string>,score:double>"
 )
 
 
 def with_licenses(docs: DataFrame, text: str = "text", into: str = "licenses") -> DataFrame:
-    """Adds a struct column: n_words, places of base phrases (word numbers), labels, choices, score."""
+    """Adds a struct column: n_words, places of base phrases (word numbers), labels, expressions, score."""
     if into.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"column already there: {into}")
     kind = pa.struct(
         [("n_words", pa.int64()), ("places", pa.list_(pa.int64())), ("base_labels", pa.list_(pa.string())),
-         ("labels", pa.list_(pa.string())), ("choices", pa.list_(pa.string())), ("score", pa.float64())]
+         ("labels", pa.list_(pa.string())), ("expressions", pa.list_(pa.string())), ("score", pa.float64())]
     )
 
     @F.arrow_udf(_SCHEMA)
