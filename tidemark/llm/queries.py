@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, pii, substrings, toxicity
-from tidemark.llm.common import fold, read, sha256_hex
+from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, pii, runs, substrings, toxicity
+from tidemark.llm.common import TOKEN, fold, read, sha256_hex
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +168,103 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """The contract's input: in every tenth document the words from a place on repeat some of its own words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({TOKEN})"), F.lit(1)))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    g, n = F.col("g"), F.size("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    placed = split.select("doc_id", "text", "words", F.when(n > 0, a).alias("a"), F.when(n > 0, p).alias("p"))
+    source = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    )
+    text = F.array_join(F.transform(source, lambda i: F.element_at("words", i + 1)), " ")
+    return placed.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _repeating(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.with_runs(docs).select("doc_id", "periodic.*")
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    first = F.array_min(order)  # the longest, ties by start and period
+    length, period = -first["col1"], first["period"]
+    described = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        first["start"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        sha256_hex(F.concat(F.array_join(described, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))).alias("runs_sha256"),
+        sha256_hex(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+#: The recursive parts compute crc32 of the decimal doc_id, which DuckDB lacks, from its byte table.
+OP13_SQL = r"""
+WITH RECURSIVE shifted AS (
+    SELECT CAST(range AS BIGINT) AS byte, CAST(range AS BIGINT) AS v, 0 AS k FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM shifted WHERE k < 8
+), crc_table AS (
+    SELECT byte, v FROM shifted WHERE k = 8
+), crc AS (
+    SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS id, 0 AS k, CAST(4294967295 AS BIGINT) AS v
+    FROM (SELECT DISTINCT doc_id FROM documents)
+    UNION ALL
+    SELECT doc_id, id, crc.k + 1, xor(crc.v >> 8, t.v)
+    FROM crc JOIN crc_table t ON t.byte = xor(crc.v, ascii(substr(id, crc.k + 1, 1))) & 255
+    WHERE crc.k < length(id)
+), hashed AS (
+    SELECT doc_id, xor(v, 4294967295) AS h, xor(v, 4294967295) // 10 AS g FROM crc WHERE k = length(id)
+), split AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
+), planted AS (
+    SELECT r, s.doc_id, w, len(w) AS n, h, g, CASE WHEN len(w) > 0 THEN g % len(w) END AS a
+    FROM split s JOIN hashed USING (doc_id)
+), d AS (
+    SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN [w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1 END] FOR i IN range(0, n)]
+        ELSE w END AS w
+    FROM planted
+), pos AS (
+    SELECT r, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM d
+), same AS (
+    SELECT x.r, x.i, y.i - x.i AS q FROM pos x JOIN pos y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretch AS (
+    SELECT r, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same)
+    GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (
+    SELECT r, start, length, q FROM stretch t
+    WHERE NOT EXISTS (
+        SELECT 1 FROM stretch u WHERE u.r = t.r AND u.q < t.q AND u.start <= t.start AND u.start + u.length >= t.start + t.length
+    )
+), described AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS runs,
+           first(struct_pack(s := start, l := length, p := q) ORDER BY length DESC, start, q) AS top
+    FROM run GROUP BY r
+), gone AS (
+    SELECT DISTINCT r, unnest(range(start + q, start + length)) AS i FROM run
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS txt FROM pos ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(top.l AS BIGINT) AS length,
+       CAST(top.p AS BIGINT) AS period, CAST(1000 * top.l // top.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(txt, '')) AS collapsed_sha256
+FROM d LEFT JOIN described USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op7_jaccard, op8_toxicity, op9_substrings, op10_packing)
-}
-SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL}
+    for f in (
+        op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op7_jaccard,
+        op8_toxicity, op9_substrings, op10_packing, op13_periodic_runs,
+    )
+}
+SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL, "op13_periodic_runs": OP13_SQL}
