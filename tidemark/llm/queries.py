@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, pii, runs, substrings, toxicity
+from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, phrases, pii, runs, substrings, toxicity
 from tidemark.llm.common import TOKEN, fold, read, sha256_hex
 
 
@@ -168,6 +168,53 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+    return found.withColumnRenamed("name", "lang")
+
+
+OP12_SQL = r"""
+WITH piece AS (
+    SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    )
+), total AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang
+), gram AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, range(1, 5) t(k) WHERE len(w) >= k)
+), f AS (
+    SELECT lang, phrase, any_value(k) AS k, string_split(any_value(phrase), ' ') AS w, count(*) AS f
+    FROM gram GROUP BY lang, phrase HAVING count(*) >= 30
+), cut AS (
+    SELECT lang, phrase, w, f AS a, c, array_to_string(w[1:c], ' ') AS lp, array_to_string(w[c + 1:], ' ') AS rp
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)
+), scored AS (
+    SELECT cut.lang, cut.phrase, a, c, x.f AS l, y.f AS r,
+           CAST(2000000::HUGEINT * a // (x.f::HUGEINT + y.f::HUGEINT) AS BIGINT) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inner_part AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS f
+    FROM (
+        SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, w, f, k, unnest(range(2, k)) AS m FROM f WHERE k > 2)
+    )
+    GROUP BY ALL
+), kept AS (
+    SELECT best.* FROM best LEFT JOIN inner_part i USING (lang, phrase)
+    WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * best.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """The contract's input: in every tenth document the words from a place on repeat some of its own words."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -264,7 +311,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op7_jaccard,
-        op8_toxicity, op9_substrings, op10_packing, op13_periodic_runs,
+        op8_toxicity, op9_substrings, op10_packing, op12_collocations, op13_periodic_runs,
     )
 }
-SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL, "op13_periodic_runs": OP13_SQL}
+SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL, "op12_collocations": OP12_SQL, "op13_periodic_runs": OP13_SQL}
