@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, phrases, pii, runs, substrings, toxicity
+from tidemark.llm import contamination, fingerprints, html_text, jaccard, languages, licenses, packing, phrases, pii, runs, substrings, toxicity, url_filter
 from tidemark.llm.common import TOKEN, fold, read, sha256_hex
 
 
@@ -168,6 +168,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: Fixed by the contract; where they decide, they are also what the trees learn from.
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, rules = read(spark, sf_dir, "pages").select("page_id", "url"), url_filter.parse_rules(URL_RULES)
+    model = url_filter.fit(url_filter.label_by_rules(pages, rules))
+    return url_filter.judge(pages, rules, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
     return found.withColumnRenamed("name", "lang")
@@ -311,7 +321,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_main_text, op3_languages, op4_licenses, op5_personal_data, op6_contamination, op7_jaccard,
-        op8_toxicity, op9_substrings, op10_packing, op12_collocations, op13_periodic_runs,
+        op8_toxicity, op9_substrings, op10_packing, op11_url_filter, op12_collocations, op13_periodic_runs,
     )
 }
 SQL: dict[str, str] = {"op6_contamination": OP6_SQL, "op9_substrings": OP9_SQL, "op12_collocations": OP12_SQL, "op13_periodic_runs": OP13_SQL}
