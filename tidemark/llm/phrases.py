@@ -38,9 +38,9 @@ DEPTH, LEAST, TOP = 4, 30, 2000
 CELL_BITS = 16
 CELLS = 1 << CELL_BITS
 #: Suffixes a group should hold (it may hold twice as many): bounds a task's memory.
-BUDGET = 1_500_000
+BUDGET = 800_000
 #: Bytes of text that a task turns into suffixes at a time.
-SLAB = 8_000_000
+SLAB = 5_000_000
 #: Tasks among which the rows of a phrase that cannot be split are spread.
 SPREAD = 512
 _EXTEND, _RARE = -1, -2
@@ -113,7 +113,7 @@ def _sort_key(columns: list[np.ndarray], size: int) -> np.ndarray:
 def _numbered(tokens: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Words as numbers in order of first places; 0 is the end of a piece."""
     known = {_END: 0}
-    ids = np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int64, len(tokens))
+    ids = np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))
     return ids, list(known)
 
 
@@ -249,12 +249,13 @@ def _subtree(rows: list[tuple], depth: int, prefix: int, least: int) -> Iterator
     parts, weights = [], []
     for words, suffixes, counts in rows:
         listed = words.split(b" ") if words else []
-        numbers = np.array([0, *[known.setdefault(w, len(known) + 1) for w in listed]], np.int64)
+        numbers = np.array([0, *[known.setdefault(w, len(known) + 1) for w in listed]], np.int32)
         n = len(counts) // 4
         wide = np.uint16 if len(suffixes) == 2 * depth * n else np.uint32
         parts.append(numbers[np.frombuffer(suffixes, wide).reshape(depth, n)])
         weights.append(np.frombuffer(counts, np.uint32))
     columns, weight = np.concatenate(parts, axis=1), np.concatenate(weights).astype(np.int64)
+    parts.clear()
     order = np.argsort(_sort_key(list(columns), len(known) + 1), kind="stable")
     columns, weight = columns[:, order], weight[order]
     names = [b"", *known]
