@@ -284,13 +284,17 @@ def forecast_accuracy(forecast: DataFrame, weather: DataFrame, as_of: datetime)
         sum_or_zero("rain_1h_mm", 2).alias("actual_rain_mm"),
         most_frequent("weather_main").alias("actual_weather_main"),
     )
-    scored = matured.withColumn("_hour", hour_of("forecast_at")).join(actual, ["city", "_hour"])
+    return forecast_scores(matured.withColumn("_hour", hour_of("forecast_at")).join(actual, ["city", "_hour"]))
+
+
+def forecast_scores(paired: DataFrame) -> DataFrame:
+    """Errors and hits of predictions next to what was observed in their target hour."""
     gap = F.col("temp_celsius") - F.col("actual_temp_celsius")
     predicted_rain = F.col("precipitation_probability") >= F.lit(RAIN_PROBABILITY).cast("decimal(2,1)")
     rained = F.col("actual_rain_mm") > 0
     rain_ok = predicted_rain == rained
     condition_ok = F.col("weather_main") == F.col("actual_weather_main")
-    return scored.select(
+    return paired.select(
         "forecast_key",
         surrogate_key("city").alias("city_key"),
         date_key("forecast_at").alias("date_key"),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tidemark.operators import contract, dims
 from tidemark.operators import incremental as inc
 from tidemark.operators.checks import TableTests, run_tests
 from tidemark.operators.incremental import Restriction, Table
+from tidemark.operators.late import Ledger, reconcile
 from tidemark.operators.staging import build_staging
 from tidemark.plans import models as m
 from tidemark.session import use_utc
@@ -215,13 +217,17 @@ class SchemaTestError(RuntimeError):
 
 @dataclass
 class Warehouse:
-    """A warehouse below one root folder. One writer per root; runs are serialised."""
+    """A warehouse below one root folder. One writer per root; runs are serialised.
+
+    With ``track_late`` every run first enters into a ledger the landed rows that its lookback leaves out.
+    """
 
     spark: SparkSession
     root: str
     mappings: dict[str, list] = field(default_factory=lambda: dict(FIELD_MAPPINGS))
     compare_existing: bool = True
     calendar_start: date = CALENDAR_START
+    track_late: bool = False
     written: dict[str, list[str] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -259,10 +265,45 @@ class Warehouse:
         """Run one incremental model."""
         model = INCREMENTAL[name]
         build, sources = self._plan(name, as_of)
+        if self.track_late and model in INTERMEDIATE:
+            self._judge_late(model, sources, full_refresh)
         self.written[name] = inc.refresh(
             self.spark, self.root, model.table, build, sources, model.restrictions, full_refresh, self.compare_existing
         )
 
+    def _judge_late(self, model: Model, sources: dict[str, DataFrame], full_refresh: bool) -> None:
+        """Late rows are judged before the run moves the mark."""
+        (arg, source), table = next(iter(model.inputs.items())), model.table
+        if full_refresh:
+            self.late(table.name).reset(sources[arg])
+            return
+        bound = inc.lookback_bound(inc.high_water_mark(self.spark, self.root, table), table.lookback)
+        base = landing.landing_path(self.root, source.removeprefix("staging:"))
+        self.late(table.name).judge(sources[arg], base, model.restrictions[arg].column, bound, table.inclusive)
+
+    def late(self, name: str) -> Ledger:
+        """The ledger of late rows of an intermediate table."""
+        return Ledger(self.root, name)
+
+    def reconcile(self, name: str) -> DataFrame:
+        """Per day: landed rows that are stored, superseded, late or without a key. Landing must not be pruned."""
+        model = INCREMENTAL[name]
+        _, source = next(iter(model.inputs.items()))
+        feed = source.removeprefix("staging:")
+        staged = build_staging(landing.read_landing(self.spark, self.root, feed), self.mappings[feed])
+        ranking, usable = model.table.ranking, F.col("city").isNotNull()
+        if "incident_id" in ranking.keys:
+            usable = usable & F.col("incident_id").isNotNull()
+        at = "forecast_at" if "forecast_at" in ranking.keys else "observed_at"
+        derived = {
+            model.table.partition: F.to_date(at), "hour_utc": F.hour(at), "issued_at": F.col("extracted_at").cast("timestamp_ntz"),
+        }
+        landed = staged.withColumns({c: e for c, e in derived.items() if c in (*ranking.keys, model.table.partition)})
+        landed = landed.select("raw_id", *dict.fromkeys([*ranking.keys, model.table.partition, "city"]))
+        return reconcile(
+            landed, self.late(name).rows(self.spark), self.table(name), ranking.keys, model.table.partition, usable
+        )
+
     def rebuild(self, name: str, as_of: datetime) -> None:
         """Rebuild one table in full."""
         t = self.table
@@ -379,4 +420,13 @@ class Warehouse:
 
     def prune_landing(self, as_of: datetime) -> None:
         for feed in FEEDS:
+            ledgers = [self.late(x.table.name) for x in INTERMEDIATE if self.track_late and f"staging:{feed}" in x.inputs.values()]
+            before = self._landing_files(feed) if ledgers else set()
             landing.prune(self.spark, self.root, feed, as_of)
+            for ledger in ledgers:
+                ledger.rewritten(self.spark, before, self._landing_files(feed))
+
+    def _landing_files(self, feed: str) -> set[str]:
+        if not paths.has_data(self.spark, landing.landing_path(self.root, feed)):
+            return set()
+        return set(map(unquote, landing.read_landing(self.spark, self.root, feed).inputFiles()))

@@ -7,6 +7,7 @@ def catalog():
     """All registered queries by name."""
     from tidemark.queries import (  # noqa: F401
         incremental_on_tables,
+        late_on_tables,
         models_on_tables,
         operators_on_tables,
         quality_on_tables,

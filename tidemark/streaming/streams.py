@@ -14,28 +14,46 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.alerts import AlertRule, threshold_alerts
 from tidemark.operators.dedupe import Ranking
-from tidemark.operators.incremental import Table, delete_insert, high_water_mark
+from tidemark.operators.incremental import Table, delete_insert, high_water_mark, lookback_bound
+from tidemark.operators.late import Ledger, split_late
 
+#: Partition column of tables that micro-batches append to.
+MICRO_BATCH = "micro_batch"
 
-def hourly_dedupe(stream: DataFrame, by: Sequence[str], at: str, ranking: Ranking, lateness: str = "6 hours") -> DataFrame:
-    """Latest row per clock hour and key, updated as rows arrive.
 
-    The winner is the greatest of (order columns, tie-breaks, row hash), the ranking of the batch
-    dedupe for columns that are never NULL. Watermarks need a zoned timestamp, hence ``_at``.
-    """
-    columns = stream.columns
-    rank = F.struct(
+def rank_of(columns: Sequence[str], ranking: Ranking) -> Column:
+    """The ranking of the batch dedupe as one comparable value, for columns that are never NULL."""
+    return F.struct(
         *[F.col(c).alias(f"o{i}") for i, c in enumerate(ranking.order)],
         *[F.col(c).alias(f"t{i}") for i, c in enumerate(ranking.tie_break)],
         F.xxhash64(*columns).alias("h"),
     )
+
+
+def hourly_dedupe(stream: DataFrame, by: Sequence[str], at: str, ranking: Ranking, lateness: str = "6 hours") -> DataFrame:
+    """Latest row per clock hour and key, updated as rows arrive.
+
+    The winner is the greatest of (order columns, tie-breaks, row hash). Watermarks need a zoned
+    timestamp, hence ``_at``.
+    """
+    columns = stream.columns
     timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", lateness)
     best = timed.groupBy(F.window("_at", "1 hour"), *[F.col(c).alias(f"_k_{c}") for c in by]).agg(
-        F.max_by(F.struct(*columns), rank).alias("_best")
+        F.max_by(F.struct(*columns), rank_of(columns, ranking)).alias("_best")
     )
     return best.select("_best.*")
 
 
+def drop_repeats(stream: DataFrame, keys: Sequence[str], at: str, lateness: str = "6 hours") -> DataFrame:
+    """The first row of every key; repeats that follow within ``lateness`` of its event time are dropped.
+
+    State holds one row per key until the watermark has passed its time by ``lateness``, so it is bounded by
+    the keys of that period however long the stream runs. A key that returns later counts as new.
+    """
+    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", lateness)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
+
+
 def tumbling_rollup(
     stream: DataFrame, by: Sequence[str], at: str, every: str, measures: Sequence[Column], lateness: str = "6 hours"
 ) -> DataFrame:
@@ -68,6 +86,37 @@ def keyed_replace(
     return write
 
 
+def append_once(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that appends: a replayed micro-batch overwrites what its first run wrote."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{MICRO_BATCH}={number}")
+
+    return write
+
+
+def split_by_lookback(
+    root: str, table: Table, build: Callable[[DataFrame], DataFrame], cursor: str
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink: rows behind the table's lookback go to its ledger, the others replace their keys.
+
+    A replayed micro-batch is split by the bound that its first run recorded, although the mark may have moved since.
+    """
+    ledger = Ledger(root, table.name)
+
+    def write(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        mark = high_water_mark(session, root, table)
+        known, bound = ledger.recorded_bound(session, number)
+        if not known:
+            bound = lookback_bound(mark, table.lookback)
+            ledger.record(batch, number, cursor, bound, table.inclusive)
+        timely, _ = split_late(batch, cursor, bound, table.inclusive)
+        delete_insert(session, root, table, build(timely), mark=None if table.aligned else mark)
+
+    return write
+
+
 def run_available(
     stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "update"
 ) -> StreamingQuery:
