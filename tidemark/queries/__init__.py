@@ -6,6 +6,7 @@ from __future__ import annotations
 def catalog():
     """All registered queries by name."""
     from tidemark.queries import (  # noqa: F401
+        gate_on_tables,
         incremental_on_tables,
         late_on_tables,
         models_on_tables,

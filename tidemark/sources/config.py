@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.mappings import FIELD_MAPPINGS, Mapping
@@ -129,9 +129,18 @@ def active_rules(config: dict[str, DataFrame], stream: str) -> DataFrame:
     return rules.orderBy(F.asc_nulls_first("target_column"), "rule_type")
 
 
-def active_locations(config: dict[str, DataFrame], source: str) -> DataFrame:
-    """Active cities of a source with its bounding boxes."""
-    source_id = config["sources"].filter((F.col("source_name") == source) & F.col("is_active")).select("source_id")
+def ordered_rules(config: dict[str, DataFrame]) -> DataFrame:
+    """Active rules of all active streams with their position: stream-level rules (no column) come first."""
+    streams = active_streams(config).select("stream_id", "stream_name")
+    rules = config["validation_rules"].filter("is_active").join(streams, "stream_id")
+    order = Window.partitionBy("stream_name").orderBy(F.asc_nulls_first("target_column"), "rule_type", "rule_id")
+    return rules.withColumn("position", F.row_number().over(order))
+
+
+def active_locations(config: dict[str, DataFrame], source: str | None = None) -> DataFrame:
+    """Active cities of a source, or of every active one, with their bounding boxes."""
+    named = F.lit(True) if source is None else F.col("source_name") == source
+    source_id = config["sources"].filter(named & F.col("is_active")).select("source_id", *(["source_name"] if source is None else []))
     links = config["source_locations"].filter("is_active").drop("updated_at").join(source_id, "source_id")
     cities = config["locations"].filter("is_active").select("location_id", "city", "latitude", "longitude")
     return links.drop("is_active").join(cities, "location_id").orderBy("city")
