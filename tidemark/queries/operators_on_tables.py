@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import labels
@@ -32,6 +32,8 @@ from tidemark.plans.models import one_row_per
 from tidemark.queries import derived as d
 from tidemark.queries import oracle as o
 from tidemark.queries.registry import query, table
+from tidemark.session import scratch_dir
+from tidemark.sources import bodies
 from tidemark.sources import landing as land
 from tidemark.sources.mappings import FIELD_MAPPINGS, Mapping
 
@@ -130,6 +132,69 @@ def extract_records(spark, sf):
     return mapped.select("raw_id", F.col("city").cast("bigint").alias("location_id"), "aqi", "pm2_5_ug_m3", "observed_at")
 
 
+# Bodies by k: cut off, without records, with a second record whose aqi or whose components are no such thing, or whole.
+_BROKEN = (
+    "case when k % 10 = 0 then 'cut' when k % 10 = 1 then 'none' when k % 10 = 2 then 'aqi' when k % 10 = 3 then 'components' else 'whole' end"
+)
+
+
+def _bodies(spark, sf):
+    def record(aqi: str, factor: str, shift: int) -> Column:
+        return F.struct((F.col("dt") + shift).alias("dt"), F.struct(F.expr(aqi).alias("aqi")).alias("main"), _components(factor).alias("components"))
+
+    text = F.to_json(F.struct(F.array(record("code", "1.0", 0), record("6 - code", "0.5", 3600)).alias("list")))
+    second = F.concat(F.lit('"main":{"aqi":'), F.expr("6 - code").cast("string"), F.lit('},"components":{'))
+    body = (
+        F.when(F.col("broken") == "cut", F.substr(text, F.lit(1), F.length(text) - 7))
+        .when(F.col("broken") == "none", F.lit('{"message":"no data"}'))
+        .when(F.col("broken") == "aqi", _swap_last(text, second, F.lit('"main":{"aqi":"high"},"components":{')))
+        .when(F.col("broken") == "components", _swap_last(text, F.lit('"components":{'), F.lit('"components":7,"extra":{')))
+        .otherwise(text)
+    )
+    rows = d.flat(d.syncs(spark, sf), d.POLLUTION).withColumn("broken", F.expr(_BROKEN))
+    return rows.select("city", F.col("extracted_at").alias("synced_at"), F.col("raw_id").alias("request_id"), body.alias("payload"))
+
+
+def _swap_last(text: Column, old: Column, new: Column) -> Column:
+    """Replace the last occurrence."""
+    at = F.length(text) - F.instr(F.reverse(text), F.reverse(old)) - F.length(old) + 1
+    return F.concat(F.substr(text, F.lit(1), at), new, F.substr(text, at + F.length(old) + 1))
+
+
+def _landed_bodies(spark, sf) -> str:
+    root = scratch_dir(spark, "bodies")
+    bodies.land_bodies(_bodies(spark, sf), root, "air_pollution", F.col("synced_at"))
+    return root
+
+
+@query(
+    "body_records",
+    f"WITH {d.SYNCS_SQL}, b AS (SELECT *, {_BROKEN} AS broken FROM syncs) SELECT city, extracted_at, aqi, CAST(v * f * 0.2 AS DOUBLE) AS pm2_5_ug_m3, "
+    "date_trunc('second', ts) + to_hours(h) AS observed_at FROM (SELECT *, code AS aqi, CAST(1 AS DECIMAL(2,1)) AS f, 0 AS h FROM b WHERE broken NOT IN ('cut', 'none') "
+    "UNION ALL SELECT *, 6 - code, CAST(0.5 AS DECIMAL(2,1)), 1 FROM b WHERE broken = 'whole')",
+)
+def body_records(spark, sf):
+    """The whole records of bodies that are partly broken, read back from landing."""
+    landed = land.read_landing(spark, _landed_bodies(spark, sf), "air_pollution")
+    return build_staging(landed, FIELD_MAPPINGS["air_pollution"]).select("city", "extracted_at", "aqi", "pm2_5_ug_m3", "observed_at")
+
+
+@query(
+    "dead_letters",
+    f"WITH {d.SYNCS_SQL}, b AS (SELECT *, {_BROKEN} AS broken FROM syncs) SELECT raw_id AS request_id, city, extracted_at, "
+    "CASE broken WHEN 'cut' THEN 'not_json' WHEN 'none' THEN 'no_record' ELSE 'bad_value' END AS reason, "
+    "CASE broken WHEN 'aqi' THEN '$.main.aqi' WHEN 'components' THEN '$.components' END AS path, "
+    "CASE WHEN broken IN ('aqi', 'components') THEN 1.0 END::DOUBLE AS position, CASE WHEN broken = 'none' THEN '{\"message\":\"no data\"}' END AS short_body "
+    "FROM b WHERE broken <> 'whole'",
+    ("position",),
+)
+def dead_letters(spark, sf):
+    """Broken bodies and records with their reasons; the raw body is kept."""
+    dead = bodies.read_dead_letters(spark, _landed_bodies(spark, sf), "air_pollution")
+    body = F.when(F.length("payload") < 30, F.col("payload")).alias("short_body")
+    return dead.select("request_id", "city", "extracted_at", "reason", "path", "position", body)
+
+
 @query(
     "extract_nested_object",
     f"WITH {d.SYNCS_SQL} SELECT raw_id, user_id AS location_id, 'FRC' || code AS frc, k AS current_speed, k + (code - 1) * 5 AS free_flow_speed, "
