@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
@@ -17,6 +18,7 @@ from tidemark.operators import incremental as inc
 from tidemark.operators.checks import TableTests, run_tests
 from tidemark.operators.incremental import Restriction, Table
 from tidemark.operators.late import Ledger, reconcile
+from tidemark.operators.ranges import spans_to_read, touched_rows
 from tidemark.operators.staging import build_staging
 from tidemark.plans import models as m
 from tidemark.session import use_utc
@@ -136,6 +138,39 @@ POLLUTION_ALERTS = Model(
     {"hourly_fact": Restriction("observed_at", "date_utc")},
 )
 
+
+
+@dataclass(frozen=True)
+class Rolling:
+    """A mart with row-based frames of at most ``reach`` rows over daily facts, stored by day.
+
+    ``build`` takes the facts under the names of ``inputs``. Attributes that a city lends to all its rows come
+    from ``dim_city``: where one of ``lent`` changes, the whole city is computed again.
+    """
+
+    table: Table
+    build: Callable[..., DataFrame]
+    inputs: dict[str, str]
+    reach: int
+    lent: tuple[str, ...] = ()
+
+
+ROLLING: dict[str, Rolling] = {
+    x.table.name: x
+    for x in (
+        Rolling(
+            Table("mart_temperature_trends", "marts", "city_date_key", "date_utc", "date_utc", DAYS_2, inclusive=True),
+            m.temperature_trends, {"weather": "fct_weather_daily"}, 30,
+        ),
+        Rolling(
+            Table("mart_city_daily", "marts", "city_date_key", "date_utc", "date_utc", DAYS_2, inclusive=True),
+            m.city_daily,
+            {"weather": "fct_weather_daily", "pollution": "fct_pollution_daily", "traffic": "fct_traffic_daily"},
+            14, ("country",),
+        ),
+    )
+}
+
 INCREMENTAL: dict[str, Model] = {x.table.name: x for x in (*INTERMEDIATE, *FACTS, POLLUTION_ALERTS)}
 DIMENSIONS = ("dim_city", "dim_date", "dim_hour")
 REBUILT = DIMENSIONS + ("mart_city_daily", "mart_forecast_latest", "mart_temperature_trends", "mart_weather_alerts")
@@ -220,6 +255,8 @@ class Warehouse:
     """A warehouse below one root folder. One writer per root; runs are serialised.
 
     With ``track_late`` every run first enters into a ledger the landed rows that its lookback leaves out.
+    With ``bounded_marts`` the marts with rolling frames are stored by day, and a run computes only the rows
+    that the days it changed can reach.
     """
 
     spark: SparkSession
@@ -228,6 +265,7 @@ class Warehouse:
     compare_existing: bool = True
     calendar_start: date = CALENDAR_START
     track_late: bool = False
+    bounded_marts: bool = False
     written: dict[str, list[str] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -241,7 +279,7 @@ class Warehouse:
         """A stored table. A partitioned one without rows has no files, so it is planned as empty."""
         path = self.path(name)
         if name in INCREMENTAL and not paths.has_data(self.spark, path):
-            build, sources = self._plan(name, datetime.min)
+            build, sources = self._plan(name, datetime(1970, 1, 1))
             return build(**sources).limit(0)
         return inc.read_table(self.spark, path)
 
@@ -320,6 +358,60 @@ class Warehouse:
         }
         inc.rebuild(built[name](), self.root, "marts", name)
 
+    def refresh_rolling(self, name: str, as_of: datetime) -> list[str] | None:
+        """Compute again what the days that the facts last wrote can reach; returns the days it wrote (None: all).
+
+        A rolling mart that is absent, or one of whose facts was loaded whole, is built in full.
+        """
+        model = ROLLING[name]
+        table, by, at = model.table, "city", model.table.partition
+        facts = {arg: self.table(source) for arg, source in model.inputs.items()}
+        cities = {"cities": self.table("dim_city")} if model.lent else {}
+        written = [self.written.get(source) for source in model.inputs.values()]
+        stored = paths.partition_values(self.spark, self.path(name), at)
+        if not stored or any(days is None for days in written):
+            batch = model.build(**facts, **cities)
+            inc.replace_table(self.spark, batch, self.path(name), at)
+            self._keep_lent(model, name)
+            return None
+        changed = sorted({date.fromisoformat(d) for days in written for d in days if d != paths.NULL_VALUE})
+        days = sorted({
+            date.fromisoformat(d)
+            for source in model.inputs.values() for d in paths.partition_values(self.spark, self.path(source), at) if d != paths.NULL_VALUE
+        })
+        timeline = reduce(DataFrame.unionByName, [f.select(by, at) for f in facts.values()])
+        if len(facts) > 1:
+            timeline = timeline.distinct()
+        batches = []
+        for span in spans_to_read(timeline, days, changed, by, at, model.reach):
+            touched = touched_rows(timeline, span, by, at, model.reach)
+            recent = {arg: f.filter(span.holds(at)) for arg, f in facts.items()}
+            batches.append(model.build(**recent, **cities).join(touched, [by, at], "left_semi"))
+        renamed = self._lent_changes(model, name) if model.lent else None
+        if renamed is not None:
+            whole = {arg: f.join(renamed, by, "left_semi") for arg, f in facts.items()}
+            batches = [b.join(renamed, by, "left_anti") for b in batches] + [model.build(**whole, **cities)]
+        if not batches:
+            return []
+        wrote = inc.delete_insert(self.spark, self.root, table, reduce(DataFrame.unionByName, batches))
+        self._keep_lent(model, name)
+        return wrote
+
+    def _lent_path(self, name: str) -> str:
+        return f"{self.root}/_lent/{name}"
+
+    def _keep_lent(self, model: Rolling, name: str) -> None:
+        if model.lent:
+            kept = self.table("dim_city").select("city", *model.lent)
+            kept.coalesce(1).write.mode("overwrite").parquet(self._lent_path(name))
+
+    def _lent_changes(self, model: Rolling, name: str) -> DataFrame | None:
+        """Cities whose lent attributes are not those of the last run; None when there are none."""
+        now = self.table("dim_city").select("city", F.struct(*model.lent).alias("_now"))
+        then = self.spark.read.parquet(self._lent_path(name)).select("city", F.struct(*model.lent).alias("_then"))
+        differ = now.join(then, "city", "full").filter(~F.col("_now").eqNullSafe(F.col("_then"))).select("city")
+        return None if differ.isEmpty() else differ
+
     def _require_landing(self) -> None:
         """Landing must reach back as far as each stored intermediate table that is fed from it."""
         for model in INTERMEDIATE:
@@ -398,13 +490,16 @@ class Warehouse:
         def rebuilt(*names: str) -> list[Callable[[], None]]:
             return [lambda n=n: self.rebuild(n, as_of) for n in names]
 
+        def rolled(*names: str) -> list[Callable[[], None]]:
+            return [lambda n=n: self.refresh_rolling(n, as_of) for n in names] if self.bounded_marts else rebuilt(*names)
+
         self._together(incremental(*[x.table.name for x in INTERMEDIATE]), threads)
         self._require(INTERMEDIATE_TESTS, test)
         self._together(
             rebuilt(*DIMENSIONS, "mart_forecast_latest") + incremental(*[x.table.name for x in FACTS]), threads
         )
         self._together(
-            rebuilt("mart_city_daily", "mart_temperature_trends", "mart_weather_alerts")
+            rolled("mart_city_daily", "mart_temperature_trends") + rebuilt("mart_weather_alerts")
             + incremental("mart_pollution_alerts"),
             threads,
         )
