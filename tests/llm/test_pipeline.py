@@ -90,7 +90,7 @@ def test_packing_stage_and_run(spark, sf, steps):
 
 def test_stages_take_odd_rows_and_extra_columns(spark, odd_docs, docs_of, tables):  # noqa: F811
     for docs in (odd_docs, docs_of([])):
-        docs = docs.withColumnsRenamed({"source": "node"}).selectExpr("*", "1 as score", "'x' as hits")
+        docs = docs.withColumnsRenamed({"source": "node"}).selectExpr("*", "1 as score", "'x' as hits", "'a' as _a", "2 as _b", "'m' as _mixture", "3 as row", "4 as key_a", "5 as mixture")
         columns = docs.columns
         for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = written(stage(spark, docs, tables), name)

@@ -136,7 +136,7 @@ def hit_words(hits: Column) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit, unchanged."""
-    found = scan(docs, benchmark, window).where(F.size("hits") > 0)
-    found = found.select(F.col("key_a").alias("_a"), F.col("key_b").alias("_b")).distinct()
+    found = scan(docs, benchmark, window).where(F.size("hits") > 0).select("key_a", "key_b").distinct()
     a, b = row_key(docs)
-    return docs.join(found, (a == F.col("_a")) & (b == F.col("_b")), "left_anti")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), a.alias("key_a"), b.alias("key_b"))
+    return packed.join(found, ["key_a", "key_b"], "left_anti").select("row.*")

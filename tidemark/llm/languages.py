@@ -145,16 +145,12 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     clash = {"lang_pred", "score", "languages"} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"columns already there: {sorted(clash)}")
-    top = F.col("_mixture")[0]
-    return (
-        docs.withColumn("_mixture", mixtures(docs, model))
-        .withColumn("lang_pred", F.when(F.size("_mixture") > 0, top["lang"]).otherwise(F.lit(UNDETERMINED)))
-        .withColumn("score", F.when(F.size("_mixture") > 0, F.least(top["share"], F.lit(1.0))).otherwise(F.lit(0.0)))
-        .withColumn(
-            "languages",
-            F.array_join(
-                F.transform("_mixture", lambda m: F.concat(m["lang"], F.lit(":"), F.round(m["share"], 4).cast("string"))), ","
-            ),
-        )
-        .drop("_mixture")
+    mixture = F.col("mixture")
+    found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), mixtures(docs, model).alias("mixture"))
+    listed = F.transform(mixture, lambda m: F.concat(m["lang"], F.lit(":"), F.round(m["share"], 4).cast("string")))
+    return found.select(
+        "row.*",
+        F.when(F.size(mixture) > 0, mixture[0]["lang"]).otherwise(F.lit(UNDETERMINED)).alias("lang_pred"),
+        F.when(F.size(mixture) > 0, F.least(mixture[0]["share"], F.lit(1.0))).otherwise(F.lit(0.0)).alias("score"),
+        F.array_join(listed, ",").alias("languages"),
     )
