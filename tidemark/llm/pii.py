@@ -2,11 +2,13 @@
 
 Only DataFrame functions are used. The positions of a pattern's matches come from the text between
 them: ``split`` by the pattern gives the gaps, ``regexp_extract_all`` the matches, and their running
-lengths the offsets. All repetition is possessive and anchored to where a run begins, so that matching
-takes linear time and constant stack on texts of any length.
+lengths, added up by doubling, the offsets. All repetition is possessive and anchored to where a run begins,
+so that matching takes linear time and constant stack. What stands at a place is read from chunks of the
+text, so that a text with n matches costs n log n, however long it is.
 
 Defined results: null text is empty (no spans; its redaction stays null); kinds are judged apart, so
-spans of two kinds may overlap; repeated rows give the same spans; other columns pass through.
+spans of two kinds may overlap; repeated rows give the same spans; other columns pass through; an empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -21,6 +23,41 @@ from pyspark.sql import functions as F
 CONTEXT, CONTEXT_BONUS = 40, 0.25
 #: Spans of kinds without a checksum of their own need this score; base kinds are kept at any score.
 THRESHOLD = 0.5
+#: Code points of the chunks in which a text is looked up; more than CONTEXT.
+CHUNK = 256
+#: Different characters that the value of a secret has at least.
+SECRET_VARIETY = 8
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """All running totals of an array under an associative ``join``: log n passes, each over twice the reach."""
+
+    def reach(k: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1), k)
+
+    def wider(s: Column, k: Column) -> Column:
+        return F.transform(s, lambda x, i: F.when(i >= reach(k), join(F.get(s, i - reach(k)), x)).otherwise(x))
+
+    return _let(
+        items,
+        lambda all_: F.aggregate(F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: reach(k) < F.size(all_)), all_, wider),
+    )
+
+
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}+"), F.lit(0))
+
+
+def _cut(chunks: Column, begin: Column, end: Column) -> Column:
+    """The text from one place to another (0 and up, end exclusive, at most the whole) out of its chunks."""
+    first = F.floor(begin / CHUNK).cast("int")
+    held = F.slice(chunks, first + 1, F.floor(end / CHUNK).cast("int") - first + 1)
+    return F.substr(F.array_join(held, ""), begin - first * CHUNK + 1, F.greatest(end - begin, F.lit(0)))
 
 
 def _digits(m: Column) -> Column:
@@ -72,7 +109,25 @@ class Kind:
     base: bool = True
 
 
+def _varied(m: Column) -> Column:
+    """A named value looks generated: it holds a digit and many different characters; other forms always count."""
+    value = F.regexp_extract(m, _NAMED_SECRET, 1)
+    generated = value.rlike("[0-9]") & (F.size(F.array_distinct(F.split(value, ""))) >= SECRET_VARIETY)
+    return (F.length(value) == 0) | generated
+
+
 _LOCAL = "[A-Za-z0-9._%+-]"
+# Names that secrets are assigned to, the forms of issued keys, and the frame of a private key.
+_NAMED_SECRET = (
+    r"(?i:(?<![a-z])(?:token|secret|passwd|password|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|auth[_-]?token))"
+    r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_/+=.~-]{8,}+)"
+)
+_ISSUED_SECRET = (
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+)(?![A-Za-z0-9])"
+)
+_KEY_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+
 KINDS = (
     Kind(
         "email",
@@ -124,6 +179,15 @@ KINDS = (
         "ssn|social security|taxpayer",
         base=False,
     ),
+    Kind(
+        "secret",
+        rf"{_NAMED_SECRET}|{_ISSUED_SECRET}|{_KEY_BLOCK}",
+        lambda t: t.rlike(rf"{_NAMED_SECRET}|{_ISSUED_SECRET}|{_KEY_BLOCK}"),
+        _varied,
+        0.6,
+        "token|secret|passw|credential|private|auth|key",
+        base=False,
+    ),
 )
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
@@ -131,37 +195,52 @@ _SPAN = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
 
 def _of_kind(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind, from left to right, with code point offsets (end exclusive)."""
-    gaps = F.split(text, kind.pattern, -1)
+    nothing = F.expr(f"cast(array() as {_SPAN})")
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    placed = F.aggregate(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), matches.alias("value")),
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,value:string>>)").alias("done")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-            F.array_append(
-                s["done"], F.struct((s["at"] + F.length(x["gap"])).alias("start"), x["value"].alias("value"))
-            ).alias("done"),
+    pairs = _let(
+        matches,
+        lambda all_: F.zip_with(
+            F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(all_)),
+            all_,
+            lambda g, m: F.struct((F.length(g) + F.length(m)).alias("size"), m.alias("value")),
         ),
-        lambda s: s["done"],
     )
-    confirmed = F.filter(placed, lambda x: kind.valid(x["value"]))
-
-    def scored(x: Column) -> Column:
-        begin = F.greatest(x["start"] - CONTEXT, F.lit(0))
-        around = F.lower(F.substr(text, begin + 1, x["start"] - begin + F.length(x["value"]) + CONTEXT))
-        bonus = F.when(around.rlike(kind.words), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
-        return F.struct(
-            F.lit(kind.name).alias("kind"),
-            x["start"].alias("start"),
-            (x["start"] + F.length(x["value"])).alias("end"),
-            x["value"].alias("value"),
-            F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score"),
+
+    def place(found: Column) -> Column:
+        ends = _running(F.transform(found, lambda x: x["size"]), lambda a, b: a + b)
+        return F.zip_with(
+            found,
+            ends,
+            lambda x, e: F.struct((e - F.length(x["value"])).alias("start"), e.alias("end"), x["value"].alias("value")),
         )
 
-    spans = F.transform(confirmed, scored)
+    def score(found: Column, chunks: Column, size: Column) -> Column:
+        def scored(x: Column) -> Column:
+            before = _cut(chunks, F.greatest(x["start"] - CONTEXT, F.lit(0)), x["start"])
+            after = _cut(chunks, x["end"], F.least(x["end"] + CONTEXT, size))
+            around = F.lower(F.concat(before, x["value"], after))
+            bonus = F.when(around.rlike(kind.words), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
+            return F.struct(
+                F.lit(kind.name).alias("kind"),
+                x["start"].alias("start"),
+                x["end"].alias("end"),
+                x["value"].alias("value"),
+                F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score"),
+            )
+
+        return F.transform(found, scored)
+
+    def confirm(found: Column) -> Column:
+        scores = _let(
+            F.struct(_chunks(text).alias("chunks"), F.length(text).alias("size")),
+            lambda x: score(found, x["chunks"], x["size"]),
+        )
+        return F.when(F.size(found) > 0, scores).otherwise(nothing)
+
+    spans = _let(F.filter(_let(pairs, place), lambda x: kind.valid(x["value"])), confirm)
     if not kind.base:
         spans = F.filter(spans, lambda x: x["score"] >= THRESHOLD)
-    return F.when(kind.hint(text), spans).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    return F.when(kind.hint(text), spans).otherwise(nothing)
 
 
 def spans(text: Column) -> Column:
@@ -196,34 +275,55 @@ def _masked(text: Column, kind: Kind) -> Column:
 def _confirmed_masked(text: Column) -> Column:
     """The text with the spans of spans() replaced; those that overlap are one, named after the highest score."""
     number = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k.name, i)])
+    names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
     ordered = F.array_sort(
         F.transform(
             spans(text),
             lambda x: F.struct(x["start"], x["end"], (-x["score"]).alias("rank"), number[x["kind"]].alias("kind")),
         )
     )
-    names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
-    nothing = F.expr("cast(array() as array<string>)")
-
-    def done(s: Column) -> Column:
-        """The finished parts with the mask of the span that is still open."""
-        return F.when(s["kind"] < 0, s["done"]).otherwise(F.array_append(s["done"], F.get(names, s["kind"])))
-
-    def join(s: Column, x: Column) -> Column:
-        apart = x["start"] >= s["at"]
-        gap = F.substr(text, s["at"] + 1, x["start"] - s["at"])
-        better = apart | (x["rank"] < s["rank"]) | ((x["rank"] == s["rank"]) & (x["kind"] < s["kind"]))
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(better, x["rank"]).otherwise(s["rank"]).alias("rank"),
-            F.when(better, x["kind"]).otherwise(s["kind"]).alias("kind"),
-            F.when(apart, F.array_append(done(s), gap)).otherwise(s["done"]).alias("done"),
+
+    def reached(found: Column) -> Column:
+        """The spans with the end of all before them, itself included, and that of those before it alone."""
+        ends = _running(F.transform(found, lambda x: x["end"]), F.greatest)
+        return _let(
+            ends,
+            lambda e: F.transform(
+                found,
+                lambda x, i: F.struct(x.alias("x"), F.get(e, i).alias("to"), F.coalesce(F.get(e, i - 1), F.lit(0)).alias("past")),
+            ),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("rank"), F.lit(-1).alias("kind"), nothing.alias("done"))
-    return F.aggregate(
-        ordered, start, join, lambda s: F.concat(F.array_join(done(s), ""), F.substr(text, s["at"] + 1))
-    )
+    def grouped(found: Column) -> Column:
+        """Each span with its group: the least of what precedes it is the best of its own group, later groups being less."""
+        group = _running(F.transform(found, lambda x: (x["x"]["start"] >= x["past"]).cast("int")), lambda a, b: a + b)
+        ranked = F.zip_with(
+            found, group, lambda x, g: F.struct((-g).alias("group"), x["x"]["rank"].alias("rank"), x["x"]["kind"].alias("kind"))
+        )
+        return F.zip_with(
+            found,
+            _running(ranked, F.least),
+            lambda x, r: F.struct(x["x"]["start"], x["to"], x["past"], r["group"].alias("group"), r["kind"].alias("kind")),
+        )
+
+    def masked(found: Column, chunks: Column, size: Column) -> Column:
+        def part(x: Column, i: Column) -> Column:
+            """The text before a group at its first span, the mask at its last one."""
+            gap = F.when(x["start"] >= x["past"], _cut(chunks, x["past"], x["start"])).otherwise(F.lit(""))
+            last = F.coalesce(F.get(found, i + 1)["group"] != x["group"], F.lit(True))
+            return F.concat(gap, F.when(last, F.get(names, x["kind"])).otherwise(F.lit("")))
+
+        tail = _cut(chunks, F.get(found, F.size(found) - 1)["to"], size)
+        return F.concat(F.array_join(F.transform(found, part), ""), tail)
+
+    def replaced(found: Column) -> Column:
+        done = _let(
+            F.struct(_let(_let(found, reached), grouped).alias("found"), _chunks(text).alias("chunks")),
+            lambda x: masked(x["found"], x["chunks"], F.length(text)),
+        )
+        return F.when(F.size(found) > 0, done).otherwise(text)
+
+    return _let(ordered, replaced)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

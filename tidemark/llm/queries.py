@@ -79,6 +79,7 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[number(k) for k in ("email", "ip", "card", "phone")],
         sha256_hex(pii.described(F.col("found"), base=True)).alias("base_sha256"),
         pii.described(F.col("found")).alias("spans"),
+        F.size("found").cast("bigint").alias("n_spans"),
     )
 
 
