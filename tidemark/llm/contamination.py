@@ -103,8 +103,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         )
         return F.when(F.size("words") >= length, taken)
 
-    # the row of a document itself, which also has a key of its own when documents are spread by window
-    none = F.expr("array(named_struct('place', 0, 'length', 0, 'window', cast(key_a as string)))")
+    # the row of a document itself; where rows are spread by window it has one of its own, which no item holds
+    own = "null" if size <= BROADCAST_BYTES else "key_a"
+    none = F.expr(f"array(named_struct('place', 0, 'length', 0, 'window', cast({own} as string)))")
     empty = F.expr("cast(array() as array<struct<place:int,length:int,window:string>>)")
     a, b = row_key(docs)
     prepared = docs.select("doc_id", a.alias("key_a"), b.alias("key_b"), words(F.col("text")).alias("words"))
