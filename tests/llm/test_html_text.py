@@ -55,6 +55,34 @@ def test_named_places_go(name):
     assert html_text.main_text(page) == f"Head\n\n{LONG}\n\n{LONG}"
 
 
+ASIDES = "comment comment-list comment-body user-comments reply notice cookie-notice related share menu signup-form comments responses user-feedback author-bio".split()
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><div>{}</div></main>", '<div class="post">{}</div>'])
+@pytest.mark.parametrize("name", ASIDES)
+def test_comments_and_notices_in_an_article_go(around, name):
+    aside = f"<div class='{name}'><p>I have read all of it and want to say what I think about it here.</p></div>"
+    page = f"<body>{around.format(f'<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{aside}<p>{LONG}</p>{aside}')}</body>"
+    assert html_text.main_text(page) == "\n\n".join(["Head", LONG, LONG, LONG])
+
+
+def test_a_long_thread_of_comments_goes():
+    thread = "".join(f"<div class=comment><p>{LONG}</p></div>" for _ in range(6))
+    page = f"<article><p>{LONG}</p><p>{LONG}</p><section class=comment-list>{thread}</section></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+    page = f"<article><div class=comment><p>{LONG}</p><p>{LONG}</p></div></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+def test_a_slash_at_the_end_of_a_bare_value_closes_nothing():
+    page = f"<article><p>{LONG}</p><script src=https://cdn.example/>code()</script><p>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+    page = "<div><a href=/a/>One</a> <a href=/>Two</a> <a href='/x'/>no link"
+    assert html_text.blocks(page)[0].linked == len("OneTwo")
+    closing = {"/": True, " a/": True, " a='x'/": True, " a=b /": True, " a=b/": False, " a= b/": False, " a=/": False, " a= /": False, "": False}
+    assert {x: html_text._self_closing(x) for x in closing} == closing
+
+
 @pytest.mark.parametrize(
     ("inner", "text"),
     [("so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds", "so E=m holds"), ("a <object>stand-in</object> b", "a stand-in b"),

@@ -6,6 +6,9 @@ boilerplate terminal. Blocks next to each other, and neighbours among the childr
 by smoothness edges that are stronger the closer they are in the tree. The maximum flow between the
 terminals gives the labelling of least total cost.
 
+Class and id names inside an article are weighed by how much of its text the element holds, so that a thread of
+comments or a notice goes and a section that is most of the article stays.
+
 Defined results: null or empty html, and pages without content, give an empty text; unclosed, misnested
 and cut-off markup is read as far as it goes; repeated rows give the same text; other columns pass through.
 """
@@ -55,17 +58,20 @@ NAMES = frozenset(
     "ad ads advert advertisement adverts sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments reply replies "
     "disqus share sharing social related recommended subscribe subscription newsletter signup login popup modal overlay "
-    "widget pagination pager copyright disclaimer toolbar form search skip".split()
+    "widget pagination pager copyright disclaimer toolbar form search skip responses feedback bio".split()
 )
 # Those of NAMES that are also what articles are about, and the words that go with names of places.
 TOPICS = frozenset(
     "promotion banner cookie cookies consent notice menu navigation footer header comment reply replies share sharing social "
-    "related recommended subscription signup login modal overlay widget copyright disclaimer form search skip".split()
+    "related recommended subscription signup login modal overlay widget copyright disclaimer form search skip "
+    "responses feedback bio".split()
 )
+# Those of TOPICS that name what readers write.
+READERS = frozenset("comment reply replies responses feedback".split())
 LAYOUT = frozenset(
     "area bar blog block body box bottom btn button buttons card cards container content entry form global group holder icon "
     "icons inner item items left line link links list main outer page panel post posts article articles stories right row "
-    "section site slot story text to top unit wrap wrapper".split()
+    "section site slot story text to top unit wrap wrapper user users reader readers author authors thread".split()
 )
 HEADED = frozenset("article entry post section story".split())
 #: How much a name counts by (only layout words beside it, only topics, is an id, inside an article or main element).
@@ -74,6 +80,8 @@ NAMED = {
     (True, True, False, False): 1.0, (True, True, False, True): 0.6, (True, True, True, False): 0.6, (True, True, True, True): 0.15,
     (False, False, False, False): 0.8, (False, False, False, True): 0.6, (False, True, False, False): 0.5, (False, True, False, True): 0.25,
 }
+#: Inside an article, an element whose class is a topic alone counts in full unless it holds this share of the article's text.
+MOST_OF_IT, MOST_OF_IT_READERS = 0.5, 0.9
 #: How much a name counts among other words of an id, which may be the slug of a heading, and a class of headings and paragraphs.
 SLUG = 0.15
 
@@ -143,6 +151,33 @@ def _named(tag: str, attributes: str, in_main: bool) -> float:
     return most
 
 
+def _aside(tag: str, attributes: str) -> float:
+    """For an element inside an article: the share of its text below which the names of the element count in full, or 0."""
+    if not attributes or tag in ("html", "body", "article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
+        return 0.0
+    most = 0.0
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for token in (a or b or c).split():
+            words = {x.lower() for x in _NAME.findall(token) if not x.isdigit()}
+            names = (words & NAMES) - {"header"}
+            if names and words <= NAMES | LAYOUT:
+                if names & READERS or not names <= TOPICS:
+                    most = max(most, MOST_OF_IT_READERS)
+                elif name.lower() == "class":
+                    most = max(most, MOST_OF_IT)
+    return most
+
+
+def _self_closing(attributes: str) -> bool:
+    """A slash ends the tag and is no part of a value without quotes."""
+    if not attributes.endswith("/"):
+        return False
+    word = re.split(r"[\s\"']", attributes)[-1]
+    return "=" not in word and not attributes[: len(attributes) - len(word)].rstrip().endswith("=")
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks of text in page order: decoded, white space folded, empty ones left out."""
     page = page or ""
@@ -156,6 +191,8 @@ def blocks(page: str | None) -> list[Block]:
     ended: dict[int, str] = {}
     inside: dict[int, int] = {}
     held: list[dict[int, int]] = []
+    # elements inside an article whose names count in full below a share of its text
+    asides: dict[int, float] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -214,7 +251,7 @@ def blocks(page: str | None) -> list[Block]:
             if tag in BLOCK or tag not in VOID:
                 close(tag)
             continue
-        if tag in RAW and not attributes.endswith("/"):
+        if tag in RAW and not _self_closing(attributes):
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             text.append(" ")
@@ -242,7 +279,9 @@ def blocks(page: str | None) -> list[Block]:
         anywhere = anywhere or main
         count += 1
         links += tag == "a"
-        if not attributes.endswith("/") or tag in BLOCK:
+        if tag in BLOCK or not _self_closing(attributes):
+            if main and (share := _aside(tag, attributes)):
+                asides[count] = share
             apart = apart or _marks_apart(tag, attributes, main)
             stack.append((tag, count, apart, main, max(named, _named(tag, attributes, main))))
             if tag in EMBEDDED:
@@ -253,6 +292,17 @@ def blocks(page: str | None) -> list[Block]:
     for b, numbers in zip(found, held):  # an element that is never closed is read as its tag alone
         shares = {x: EMBEDDED[ended[x]] * n / len(b.text) for x, n in numbers.items() if x in ended}
         b.embedded = min(sum(shares.values()), max((EMBEDDED[ended[x]] for x in shares), default=0.0))
+    if asides:
+        total, own = 0, dict.fromkeys(asides, 0)
+        for b in found:
+            if b.main and not b.apart:
+                total += len(b.text)
+                for number in asides.keys() & b.path:
+                    own[number] += len(b.text)
+        small = {number for number, share in asides.items() if own[number] < share * total}
+        for b in found:
+            if not small.isdisjoint(b.path):
+                b.named = 1.0
     for b in found:  # without such an element the whole page may be the article
         b.main = float(b.main) if anywhere else NO_MAIN
     return found
