@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -56,10 +56,15 @@ def _result(counts: DataFrame, table: str, column: str, test: str) -> DataFrame:
     )
 
 
-def run_tests(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> DataFrame:
+def run_tests(
+    tables: dict[str, DataFrame],
+    suite: dict[str, TableTests],
+    duplicates: Callable[[str, str], DataFrame | None] = lambda table, column: None,
+) -> DataFrame:
     """One row per test with its number of violations.
 
-    All NULL and value tests of a table share one aggregate, hence one scan.
+    All NULL and value tests of a table share one aggregate, hence one scan. ``duplicates`` may know a better way to
+    find the repeated keys of a table and column.
     """
     out: list[DataFrame] = []
     for name, tests in suite.items():
@@ -78,7 +83,9 @@ def run_tests(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> Dat
                 )
             )
         for c in tests.unique:
-            counts = duplicate_keys(df, c).agg(F.count(F.lit(1)).alias("violations"))
+            repeated = duplicates(name, c)
+            repeated = duplicate_keys(df, c) if repeated is None else repeated
+            counts = repeated.agg(F.count(F.lit(1)).alias("violations"))
             out.append(_result(counts, name, c, "unique"))
         for c, parent, parent_column in tests.relationships:
             counts = orphans(df, c, tables[parent], parent_column)

@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import contract, dims
+from tidemark.operators import contract, dims, keymarks
 from tidemark.operators import incremental as inc
 from tidemark.operators.checks import TableTests, run_tests
 from tidemark.operators.incremental import Restriction, Table
@@ -243,6 +243,10 @@ MART_TESTS: dict[str, TableTests] = {
 }
 
 
+#: Fixed value: the note beside the marks of a table that changed since.
+UNMARKED = "_UNMARKED"
+
+
 class SchemaTestError(RuntimeError):
     """A schema test of a layer failed; later layers were not built."""
 
@@ -256,7 +260,9 @@ class Warehouse:
 
     With ``track_late`` every run first enters into a ledger the landed rows that its lookback leaves out.
     With ``bounded_marts`` the marts with rolling frames are stored by day, and a run computes only the rows
-    that the days it changed can reach.
+    that the days it changed can reach. With ``key_marks`` the uniqueness tests of a run hold the days it wrote against
+    all stored days, of which it reads those that key bitmaps cannot rule out. Whoever writes the tables by other
+    means removes the folder ``_marks``.
     """
 
     spark: SparkSession
@@ -266,6 +272,8 @@ class Warehouse:
     calendar_start: date = CALENDAR_START
     track_late: bool = False
     bounded_marts: bool = False
+    key_marks: bool = False
+    mark_slots: int = keymarks.SLOTS
     written: dict[str, list[str] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -305,9 +313,47 @@ class Warehouse:
         build, sources = self._plan(name, as_of)
         if self.track_late and model in INTERMEDIATE:
             self._judge_late(model, sources, full_refresh)
+        marked = self._announce(name)
         self.written[name] = inc.refresh(
             self.spark, self.root, model.table, build, sources, model.restrictions, full_refresh, self.compare_existing
         )
+        if self.key_marks:
+            self._mark_keys(name, marked)
+
+    def _marks_path(self, name: str) -> str:
+        return f"{self.root}/_marks/{name}-{self.mark_slots}"
+
+    def _announce(self, name: str) -> bool:
+        """Note that the table is about to change; returns whether its marks are those of the stored rows until then.
+
+        A note that is still there tells that rows were written and not marked.
+        """
+        path = self._marks_path(name)
+        kept = paths.has_data(self.spark, path)
+        marked = kept and not paths.exists(self.spark, f"{path}/{UNMARKED}")
+        if kept or self.key_marks:
+            paths.touch(self.spark, f"{path}/{UNMARKED}")
+        return marked
+
+    def _mark_keys(self, name: str, marked: bool) -> None:
+        table, path = INCREMENTAL[name].table, self._marks_path(name)
+        whole = not marked or self.written[name] is None
+        rows = self.table(name) if whole else self._written_part(name)
+        keymarks.refresh_marks(self.spark, path, rows, table.key, table.partition, self.mark_slots, whole)
+        paths.remove(self.spark, f"{path}/{UNMARKED}")
+
+    def repeated_keys(self, name: str, column: str) -> DataFrame | None:
+        """Keys of the days written last that occur more than once in the whole table; None where no marks tell."""
+        table = INCREMENTAL[name].table if name in INCREMENTAL else None
+        days, path = self.written.get(name), self._marks_path(name)
+        if table is None or column != table.key or days is None or not paths.has_data(self.spark, path):
+            return None
+        at = F.col(table.partition)
+        marks = keymarks.stored_marks(self.spark, path, table.partition).filter(~paths.on_days(at, days))
+        history = self.table(name).filter(~paths.on_days(at, days))
+        return keymarks.duplicate_new_keys(
+            self.spark, self._written_part(name), history, marks, column, table.partition, self.mark_slots
+        )
 
     def _judge_late(self, model: Model, sources: dict[str, DataFrame], full_refresh: bool) -> None:
         """Late rows are judged before the run moves the mark."""
@@ -444,7 +490,8 @@ class Warehouse:
         read = self._written_part if scope == "written" else self.table
         parents = {parent for tests in suite.values() for _, parent, _ in tests.relationships}
         tables = {n: self.table(n) for n in parents - set(suite)} | {n: read(n) for n in suite}
-        return run_tests(tables, suite)
+        marked = scope == "written" and self.key_marks
+        return run_tests(tables, suite, self.repeated_keys) if marked else run_tests(tables, suite)
 
     def _require(self, suite: dict[str, TableTests], scope: str) -> None:
         if scope == "none":
@@ -508,6 +555,8 @@ class Warehouse:
 
     def backfill(self) -> dict[str, int]:
         """Recompute the stored keys of the intermediate tables; safe to repeat."""
+        for name in BACKFILL_KEYS:
+            self._announce(name)
         return {
             name: inc.rewrite_keys(self.spark, self.root, INCREMENTAL[name].table, key())
             for name, key in BACKFILL_KEYS.items()

@@ -12,6 +12,7 @@ def catalog():
         models_on_tables,
         operators_on_tables,
         quality_on_tables,
+        stores_on_tables,
         streams_on_tables,
     )
     from tidemark.queries.registry import REGISTRY
