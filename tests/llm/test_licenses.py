@@ -84,6 +84,24 @@ def test_long_expressions():
     assert len(licenses.choices(licenses.parse("(a or b) and (c or d) with e"))) == 4
 
 
+@pytest.mark.parametrize(
+    ("line", "labels", "permissive"),
+    [("MIT and see below", ["mit"], False), ("see LICENSE", [], None), ("LicenseRef-Acme OR GPL-3.0", ["gpl", "gpl-3.0", "licenseref-acme"], False),
+     ("Zlib", ["zlib"], True), ("Foo-2.0 AND MIT", ["foo-2.0", "mit"], False), ("(GPL-2.0 OR MIT) AND CC0-1.0", ["cc0-1.0", "gpl", "gpl-2.0", "mit"], True),
+     ("GPL-2.0 WITH Classpath-exception-2.0 OR Apache-2.0 WITH LLVM-exception", ["apache", "apache-2.0", "gpl", "gpl-2.0"], True)],
+)
+def test_ids_and_evaluation(line, labels, permissive):
+    found = licenses.scan(f"# SPDX-License-Identifier: {line}\n")
+    assert found["labels"] == labels and found["permissive"] is permissive
+
+
+def test_every_expression_is_evaluated():
+    both = licenses.scan("SPDX-License-Identifier: MIT\nSPDX-License-Identifier: GPL-2.0")
+    assert both["expressions"] == ["mit", "gpl-2.0"] and both["permissive"] is False
+    deep = licenses.parse(" or (mpl and ".join(["mit"] * 5000) + ")" * 4999)
+    assert licenses.allows(deep, licenses.is_permissive)
+
+
 def test_clashing_name(docs_of):
     with pytest.raises(ValueError):
         licenses.with_licenses(docs_of([]).withColumnRenamed("source", "Licenses"))

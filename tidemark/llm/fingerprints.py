@@ -5,9 +5,10 @@ Only DataFrame functions are used. A text's paragraphs, cut after every 128 code
 tables. A cell holds how many digests it has, their xor and the xor of their checks. The sketches of two
 versions subtract cell by cell: what both share cancels, and peeling recovers the digests that differ.
 Where a sketch is too small for the difference, both sets are sketched again at a size that follows
-theirs, split by digest into shares of bounded size; a share that fails is tried again with more cells.
+theirs, split by digest into shares of bounded size; a share that fails is tried again with more cells, and
+one that fails at every size is settled by comparing its few digests.
 
-Defined results: null text is empty; empty texts have no digests and two of them are alike (1.0); repeated
+Defined results: null text is empty; an empty table gives no rows; empty texts have no digests and two of them are alike (1.0); repeated
 paragraphs count once; repeated rows are fingerprinted alike. Next documents: see ``with_next``.
 """
 
@@ -202,13 +203,17 @@ def _shares(found: Column, shares: Column) -> Column:
 def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
     """struct<only_a, only_b, whole> of two digest sets through their sketches, retried larger on failure.
 
+    A share whose last retry fails too (about one in a million) is settled by comparing its digests, so nothing is partial.
     All four should be plain columns of their own projection, so that none is computed more than once.
     """
     first = peel(subtract(sketch_a, sketch_b))
 
     def retried(p: Column, sizes: tuple[int, ...]) -> Column:
+        if not sizes:  # the share is small, so its digests are compared themselves
+            gone, new = F.array_except(p["x"], p["y"]), F.array_except(p["y"], p["x"])
+            return F.struct(gone.alias("only_a"), new.alias("only_b"), F.lit(True).alias("whole"))
         tried = peel(sketch(p["x"], sizes[0], minus=p["y"]), sizes[0])
-        return tried if len(sizes) == 1 else _let(tried, lambda r: F.when(r["whole"], r).otherwise(retried(p, sizes[1:])))
+        return _let(tried, lambda r: F.when(r["whole"], r).otherwise(retried(p, sizes[1:])))
 
     shares = F.ceil((F.size(a) + F.size(b)) / SHARE).cast("int")
 

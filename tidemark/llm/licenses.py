@@ -5,13 +5,14 @@ document in a single pass; the text after each ``SPDX-License-Identifier:`` tag
 expression of licence ids with AND, OR, WITH and parentheses.
 
 Defined results: null text is empty (no words, no labels, score 0); an expression that does not parse
-gives the ids that it names; repeated rows are scanned alike; other columns are not read.
+gives its first word, if that is an id; words that are no ids (``MIT and see below``) give no labels; an empty
+table gives no rows; a text of any length is scanned whole, in time that grows with its length; repeated rows are scanned alike; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import ahocorasick
@@ -54,6 +55,26 @@ PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 FAMILIES = {"mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "mpl": "mpl"}
 
 
+# First parts of licence ids; a word of a tag line with neither a digit nor such a part is no id.
+KNOWN = set(
+    "afl agpl apache artistic beerware bsd bsl cc cddl cecill curl ecl epl eupl gfdl gpl ipl isc lgpl libpng licenseref mit mpl ms "
+    "mulanpsl ncsa ntp odbl ofl openssl osl pddl php postgresql psf python ruby unlicense upl vim wtfpl zlib zpl".split()
+)
+# First parts of the ids of licences without a duty to share changes.
+PERMISSIVE = set(
+    "0bsd afl apache beerware bsd bsl cc0 curl ecl isc libpng mit ncsa ntp openssl php postgresql psf python unlicense upl vim w3c wtfpl x11 zlib".split()
+)
+
+
+def is_id(word: str) -> bool:
+    """Whether a word after a tag can be a licence id."""
+    return any(c.isdigit() for c in word) or re.split(r"[-.+:]", word)[0] in KNOWN
+
+
+def is_permissive(word: str) -> bool:
+    return re.split(r"[-.+:]", word)[0] in PERMISSIVE
+
+
 def parse(expression: str) -> tuple | None:
     """Shunting-yard: nested (operator, left, right) tuples over ids, or None if it is not an expression.
 
@@ -156,6 +177,24 @@ def choices(tree) -> list[frozenset[str]]:
     return sorted(values[0], key=lambda s: (len(s), sorted(s)))
 
 
+def allows(tree, accepted: Callable[[str], bool]) -> bool:
+    """Evaluates an expression: whether accepted licences alone satisfy it. An exception after WITH takes nothing away."""
+    values: list[bool] = []
+    left = [(tree, False)]
+    while left:
+        tree, ready = left.pop()
+        if isinstance(tree, str):
+            values.append(accepted(tree))
+        elif tree[0] == "with":
+            left.append((tree[1], False))
+        elif not ready:
+            left += [(tree, True), (tree[2], False), (tree[1], False)]
+        else:
+            right, first = values.pop(), values.pop()
+            values.append(first or right if tree[0] == "or" else first and right)
+    return values[0]
+
+
 @cache
 def _automaton() -> ahocorasick.Automaton:
     """Phrases between spaces -> (is a base phrase, label, words)."""
@@ -193,7 +232,8 @@ def scan(text: str | None) -> dict:
         for line in _TAG_LINE.findall(lowered):
             tree = parse(line)
             named = ids(tree) if tree is not None else [p for p in _PIECE.findall(line)[:1] if p not in {*PRECEDENCE, "(", ")"}]
-            if tree is not None:
+            named = [one for one in named if is_id(one)]
+            if tree is not None and named:
                 expressions.append(tree)
             for one in named:
                 labels.add(one)
@@ -204,23 +244,27 @@ def scan(text: str | None) -> dict:
     return {
         "n_words": len(found), "places": places, "base_labels": sorted(base), "labels": sorted(labels),
         "expressions": [written(t) for t in expressions],
+        "permissive": all(allows(t, is_permissive) for t in expressions) if expressions else None,
         "score": 1 - 0.5**evidence if labels else 0.0,
     }
 
 
 _SCHEMA = (
     "struct<n_words:bigint,places:array<bigint>,base_labels:array<string>,labels:array<string>,"
-    "expressions:array<string>,score:double>"
+    "expressions:array<string>,permissive:boolean,score:double>"
 )
 
 
 def with_licenses(docs: DataFrame, text: str = "text", into: str = "licenses") -> DataFrame:
-    """Adds a struct column: n_words, places of base phrases (word numbers), labels, expressions, score."""
+    """Adds a struct column: n_words, places of base phrases (word numbers), labels, expressions, permissive, score.
+
+    ``permissive`` says whether permissive licences alone satisfy every expression of the text; null without one.
+    """
     if into.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"column already there: {into}")
     kind = pa.struct(
         [("n_words", pa.int64()), ("places", pa.list_(pa.int64())), ("base_labels", pa.list_(pa.string())),
-         ("labels", pa.list_(pa.string())), ("expressions", pa.list_(pa.string())), ("score", pa.float64())]
+         ("labels", pa.list_(pa.string())), ("expressions", pa.list_(pa.string())), ("permissive", pa.bool_()), ("score", pa.float64())]
     )
 
     @F.arrow_udf(_SCHEMA)

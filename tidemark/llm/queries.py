@@ -65,6 +65,8 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(x["base_labels"], ",").alias("base_labels"),
         F.array_join(x["labels"], ",").alias("labels"),
         x["score"].alias("score"),
+        F.array_join(x["expressions"], "; ").alias("expressions"),
+        x["permissive"].alias("permissive"),
     )
 
 
