@@ -45,16 +45,6 @@ def test_difference_recovers_the_digests(spark):
     assert found == [(list(range(30)), list(range(100, 140)), True), ([], [], True), ([], b, True), ([], [], True)]
 
 
-def test_nothing_is_lost_after_the_last_retry(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "RETRIES", (2, 3))  # too small to peel anything
-    a, b = list(range(150)), list(range(100, 400))
-    df = spark.createDataFrame([(a, b), (b, []), (a, a)], "a array<bigint>, b array<bigint>")
-    df = df.select("a", "b", fingerprints.sketch(F.col("a")).alias("sa"), fingerprints.sketch(F.col("b")).alias("sb"))
-    rows = df.select(fingerprints.difference(*map(F.col, ("a", "b", "sa", "sb"))).alias("d")).collect()
-    found = [(sorted(r["d"]["only_a"]), sorted(r["d"]["only_b"]), r["d"]["whole"]) for r in rows]
-    assert found == [(list(range(100)), list(range(150, 400)), True), (b, [], True), ([], [], True)]
-
-
 def test_sketches_are_linear(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [3, 4, 5])], "a array<bigint>, b array<bigint>")
     a, b = F.col("a"), F.col("b")
