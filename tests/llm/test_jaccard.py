@@ -179,3 +179,11 @@ def test_components_equal_union_find(spark):
         root[max(a, b)] = min(a, b)
     tied = {x for e in edges if e[0] != e[1] for x in e}
     assert {r["node"]: r["component"] for r in found} == {x: find(x) for x in tied}
+
+
+def test_an_id_with_several_sets_ties_their_classes(spark, docs_of, prose):
+    """Document 5 has the text of 3 and that of 2, so 2, 3, 5 and what links with them are one class."""
+    x, y, z = (" ".join(prose(seed, 40)) for seed in (71, 72, 73))
+    rows = [(5, x), (5, y), (3, y), (2, x), (9, x + " more"), (7, z), (8, z), (7, None), (None, z), (4, None)]
+    found = {(r["doc_id"], r["n_shingles"], r["component"]) for r in jaccard.classes(docs_of(rows)).collect()}
+    assert found == {(5, 38, 2), (3, 38, 2), (2, 38, 2), (9, 39, 2), (7, 38, 7), (8, 38, 7), (7, 0, 7), (None, 38, 7), (4, 0, 4)}

@@ -48,6 +48,12 @@ def test_runs_equal_brute_force():
     assert total > 1000
 
 
+def test_copies_of_a_text_are_no_runs_across_texts():
+    docs = [list("abcd")] * 40 + [list(range(64))] + [list("abcdefgijklm")] * 30 + [[], list("xx")] * 12 + [list("pppppp")]
+    assert runs.find_runs(docs) == [brute_force(x) for x in docs]
+    assert sum(map(len, runs.find_runs(docs))) == 1
+
+
 @pytest.mark.parametrize("exponent, least", [(3, 3), (3, 20), (5, 6)])
 def test_other_bounds(exponent, least):
     rng = random.Random(exponent * 100 + least)

@@ -11,7 +11,7 @@
 4. Within a cluster, blocks of nodes are multiplied pairwise: overlaps are accumulated over the common
    n-grams, pairs below the bound that their two sizes give are discarded, and each product returns a
    spanning forest of its links and every node's number of links, never the pairs themselves.
-5. Connected components of the links are the classes.
+5. Connected components of the links are the classes. Where rows of one id have different sets, the id ties them.
 
 The dealing is lossless. Sets of sizes a <= b with similarity at least p / 100 differ in D <= a (100 - p) / p
 shingles. Of D + 1 + e segments at least 1 + e are equal in both. If one of the sets has at most e empty
@@ -20,7 +20,7 @@ empty segments too, so two such sets also meet. e follows from the expected numb
 smallest set of a class, so that it is hardly ever exceeded.
 
 Defined results: documents without words, or with null text, have an empty set, no links, and are a class of
-their own; fewer words than a shingle are one shingle; rows with one id are one document for classes; rows
+their own; fewer words than a shingle are one shingle; rows with one id and any words are one document for classes; rows
 with a null id are told apart by their sets and never lend their id; an empty table gives no rows.
 """
 
@@ -427,7 +427,11 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     found = written(
         blocked.groupBy("component", "pair").applyInArrow(multiply, "a bigint, b bigint, links bigint"), "jaccard-links"
     )
-    linked = components(found.where("b is not null").select("a", "b"))
+    ids = filled.where("doc_id is not null").groupBy(F.col("node").alias("id"))
+    several = ids.agg((F.min("s1") != F.max("s1")).alias("several")).where("several").select("id")
+    sames = filled.join(several, F.col("node") == F.col("id"), "left_semi").select(F.col("node").alias("a"), "s1", "s2")
+    sames = sames.join(nodes.select("s1", "s2", F.col("node").alias("b")), ["s1", "s2"]).where("a <> b").select("a", "b")
+    linked = components(found.where("b is not null").select("a", "b").unionByName(sames))
     counted = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     classed = (
         nodes.select("s1", "s2", "node", "copies")
