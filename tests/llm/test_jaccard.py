@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import components, jaccard, queries
 
@@ -187,3 +188,17 @@ def test_an_id_with_several_sets_ties_their_classes(spark, docs_of, prose):
     rows = [(5, x), (5, y), (3, y), (2, x), (9, x + " more"), (7, z), (8, z), (7, None), (None, z), (4, None)]
     found = {(r["doc_id"], r["n_shingles"], r["component"]) for r in jaccard.classes(docs_of(rows)).collect()}
     assert found == {(5, 38, 2), (3, 38, 2), (2, 38, 2), (9, 39, 2), (7, 38, 7), (8, 38, 7), (7, 0, 7), (None, 38, 7), (4, 0, 4)}
+
+
+def test_a_key_ties_its_nodes_across_chunks(monkeypatch):
+    """Rows sorted by key: one key may fill several chunks, or lie in the last rows of one and the first of the next."""
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    rows = [(4, 7), (5, 10), (5, 11), (7, 13), (7, 12), (7, 15), (7, 14), (7, 16), (7, 17), (8, 1), (9, 2), (9, 3)]
+    batches = [
+        pa.record_batch([pa.array([k for k, _ in part]), pa.array([n for _, n in part]), pa.nulls(len(part), pa.int64())], ["key", "node", "other"])
+        for part in (rows[i : i + 3] for i in range(0, len(rows), 3))
+    ]
+    tied = pa.Table.from_batches(jaccard._combine(iter(batches))).to_pylist()
+    edges = [(r["node"], r["other"]) for r in tied if r["other"] is not None]
+    node, root = components.forest(*(np.array(x) for x in zip(*edges)))
+    assert dict(zip(node.tolist(), root.tolist())) == {11: 10, 13: 12, 14: 12, 15: 12, 16: 12, 17: 12, 3: 2}

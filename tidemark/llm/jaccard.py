@@ -276,13 +276,18 @@ def _tied(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) rows with one node for each key in hand, and forests (node, other) of what shared a key."""
+    """(key, node) rows with one node for each key in hand, and forests (node, other) of what shared a key.
+
+    The last key in hand stays there, so rows sorted by key are tied whole, however many chunks they take.
+    """
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
     def flush() -> pa.RecordBatch:
         key, node, a, b = (np.concatenate(x) for x in zip(*held))
         held.clear()
         order, first, lead = _tied(key, node)
+        if key.size:
+            held.append((key[-1:], node[key == key[-1]].min(keepdims=True), np.empty(0, np.int64), np.empty(0, np.int64)))
         one, other = forest(np.concatenate([a, node[order]]), np.concatenate([b, node[lead]]))
         others = pa.concat_arrays([pa.nulls(first.size, pa.int64()), pa.array(other)])
         return pa.RecordBatch.from_arrays(
@@ -400,7 +405,8 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     )
     sets = written(sets, "jaccard-alive-sets")
     combined = "key bigint, node bigint, other bigint"
-    ties = sets.select("node", "keys").mapInArrow(_combine, combined).repartition("key").mapInArrow(_combine, combined)
+    ties = sets.select("node", "keys").mapInArrow(_combine, combined)
+    ties = ties.repartition("key").sortWithinPartitions("key").mapInArrow(_combine, combined)
     clusters = components(ties.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
 
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
