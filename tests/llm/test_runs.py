@@ -122,3 +122,11 @@ def test_query_on_odd_tables_matches_sql(spark, docs_of, odd_docs, stored_tables
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
     expected = duck_rows(con, queries.SQL["op13_periodic_runs"])
     assert differences(spark_rows(queries.op13_periodic_runs(spark, folder)), expected) == []
+
+
+def test_equal_documents_side_by_side_are_not_one_stretch():
+    words = [f"w{i}" for i in range(24)]
+    assert runs.find_runs([words] * 12) == [[]] * 12
+    assert runs.find_runs([["a"]] * 12) == [[]] * 12
+    inner = [*words, *["x", "y"] * 4]
+    assert runs.find_runs([inner] * 12) == [brute_force(inner)] * 12 == [[(24, 8, 2)]] * 12

@@ -116,7 +116,8 @@ def matches(x: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray,
 def _same_until(x: np.ndarray, at: int, distance: int, step: int) -> int:
     """How far from ``at`` (in direction ``step``) words that are ``distance`` apart stay identical.
 
-    The marks around every document end this: a word is never equal to a mark.
+    The marks around every document end this: a word is never equal to a mark, and a mark counts as equal to none,
+    else equal documents side by side would count as one stretch.
     """
     done, size = 0, 64
     while True:
@@ -127,7 +128,7 @@ def _same_until(x: np.ndarray, at: int, distance: int, step: int) -> int:
         else:
             low = max(0, at - done - size)
             a, b = x[low : at - done][::-1], x[low + distance : at - done + distance][::-1]
-        differs = np.flatnonzero(a != b)
+        differs = np.flatnonzero((a != b) | (a == 0))
         if differs.size:
             return done + int(differs[0])
         done, size = done + len(a), size * 2
