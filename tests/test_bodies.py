@@ -79,3 +79,11 @@ def test_names_with_a_meaning_are_refused(spark, root):
         bodies.read_bodies(_payloads(spark, "{}").withColumn("reason", F.lit(1)), "air_pollution")
     with pytest.raises(ValueError):
         bodies.land_bodies(_payloads(spark, "{}").withColumn("extracted_at", F.lit(1)), root, "air_pollution", F.lit(AT))
+
+
+@pytest.mark.parametrize("feed", HEALTHY)
+def test_generated_methods_are_short_enough_to_be_compiled(spark, feed):
+    """The JVM leaves methods of more than 8000 bytes of code to the interpreter, which is many times slower."""
+    read = bodies.read_bodies(_payloads(spark, "{}"), feed)
+    parts = read._jdf.queryExecution().debug().codegenToSeq()
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) <= 8000

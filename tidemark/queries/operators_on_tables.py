@@ -142,7 +142,8 @@ def _bodies(spark, sf):
     def record(aqi: str, factor: str, shift: int) -> Column:
         return F.struct((F.col("dt") + shift).alias("dt"), F.struct(F.expr(aqi).alias("aqi")).alias("main"), _components(factor).alias("components"))
 
-    text = F.to_json(F.struct(F.array(record("code", "1.0", 0), record("6 - code", "0.5", 3600)).alias("list")))
+    packed = F.to_json(F.struct(F.array(record("code", "1.0", 0), record("6 - code", "0.5", 3600)).alias("list")))
+    text = F.col("text")  # a column of its own, so that it is packed once for all its uses
     second = F.concat(F.lit('"main":{"aqi":'), F.expr("6 - code").cast("string"), F.lit('},"components":{'))
     body = (
         F.when(F.col("broken") == "cut", F.substr(text, F.lit(1), F.length(text) - 7))
@@ -151,7 +152,7 @@ def _bodies(spark, sf):
         .when(F.col("broken") == "components", _swap_last(text, F.lit('"components":{'), F.lit('"components":7,"extra":{')))
         .otherwise(text)
     )
-    rows = d.flat(d.syncs(spark, sf), d.POLLUTION).withColumn("broken", F.expr(_BROKEN))
+    rows = d.flat(d.syncs(spark, sf), d.POLLUTION).withColumns({"broken": F.expr(_BROKEN), "text": packed})
     return rows.select("city", F.col("extracted_at").alias("synced_at"), F.col("raw_id").alias("request_id"), body.alias("payload"))
 
 

@@ -10,6 +10,7 @@ empty record list gives nothing at all; a number in quotes counts as the number,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +25,18 @@ from tidemark.sources.landing import PARTITION, append_snapshot
 DEAD_COLUMNS = ("position", "reason", "path")
 
 
-def _inside(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f'$["{key}"]', "variant")
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    A nested expression would be computed again at each use, and the code generated for all of them becomes a method
+    that is too long to be compiled.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(value: Column, kind: T.StructType) -> Column:
+    """The raw values of an object's fields; NULL if it is no object."""
+    return F.try_variant_get(value, "$", "struct<" + ",".join(f"`{f.name}`:variant" for f in kind.fields) + ">")
 
 
 def _is_given(raw: Column) -> Column:
@@ -39,7 +50,7 @@ def _fault(raw: Column, read: Column, kind: T.DataType, path: str) -> Column:
         lost = lost | (F.try_variant_get(raw, "$", "double") != read.cast("double"))
     here = F.when(lost, F.lit(path))
     if isinstance(kind, T.StructType):
-        return F.coalesce(here, *[_fault(_inside(raw, f.name), read[f.name], f.dataType, f"{path}.{f.name}") for f in kind.fields])
+        return F.coalesce(here, _once(_parts(raw, kind), lambda parts: _first_fault(parts, read, kind, path)))
     if isinstance(kind, T.ArrayType):
         pairs = F.zip_with(
             F.try_variant_get(raw, "$", "array<variant>"), read, lambda r, t: _fault(r, t, kind.elementType, f"{path}[]")
@@ -48,6 +59,10 @@ def _fault(raw: Column, read: Column, kind: T.DataType, path: str) -> Column:
     return here
 
 
+def _first_fault(parts: Column, read: Column, kind: T.StructType, path: str) -> Column:
+    return F.coalesce(*[_fault(parts[f.name], read[f.name], f.dataType, f"{path}.{f.name}") for f in kind.fields])
+
+
 def _item(position: Column, record: Column, reason: Column, path: Column) -> Column:
     return F.struct(
         position.cast("int").alias("position"), record.alias("record"), reason.cast("string").alias("reason"), path.cast("string").alias("path")
@@ -59,18 +74,23 @@ def _items(body: Column, payload: Column, feed: Feed) -> Column:
     none = F.lit(None)
     no_record = F.lit(None).cast("variant")
     place = "$" + "".join(f'["{p}"]' for p in feed.record_path)
-    found = F.try_variant_get(body, place, "variant")
-    listed = F.try_variant_get(body, place, "array<variant>") if feed.records_are_array else F.array(found)
-    dead = (
-        F.when(payload.isNull(), "no_body")
-        .when(body.isNull(), "not_json")
-        .when(~F.coalesce(_is_given(found), F.lit(False)), "no_record")
-        .when(listed.isNull(), "bad_value")
-    )
-    path = F.when(dead == "bad_value", place)
-    return F.when(dead.isNotNull(), F.array(_item(none, no_record, dead, path))).otherwise(
-        F.transform(listed, lambda r, i: _item(i if feed.records_are_array else none, r, none, none))
-    )
+
+    def items(found: Column, listed: Column) -> Column:
+        dead = (
+            F.when(payload.isNull(), "no_body")
+            .when(body.isNull(), "not_json")
+            .when(~F.coalesce(_is_given(found), F.lit(False)), "no_record")
+            .when(listed.isNull(), "bad_value")
+        )
+        path = F.when(dead == "bad_value", place)
+        return F.when(dead.isNotNull(), F.array(_item(none, no_record, dead, path))).otherwise(
+            F.transform(listed, lambda r, i: _item(i if feed.records_are_array else none, r, none, none))
+        )
+
+    def listed(found: Column) -> Column:
+        return F.try_variant_get(found, "$", "array<variant>") if feed.records_are_array else F.array(found)
+
+    return _once(F.try_variant_get(body, place, "variant"), lambda found: _once(listed(found), lambda rows: items(found, rows)))
 
 
 def read_bodies(payloads: DataFrame, feed: str, payload: str = "payload") -> DataFrame:
@@ -84,12 +104,12 @@ def read_bodies(payloads: DataFrame, feed: str, payload: str = "payload") -> Dat
     schema = spec.schema
     item = F.col("_item")
     read = items.select("_row", "_item", F.try_variant_get(item["record"], "$", schema.simpleString()).alias("_read"))
-    is_object = F.startswith(F.schema_of_variant(item["record"]), F.lit("OBJECT"))
+    is_object = _parts(item["record"], schema).isNotNull()
     reason, path = item["reason"], item["path"]
     typed = read.select("_row", "_item", "_read", _fault(item["record"], F.col("_read"), schema, "$").alias("_path"))
     typed = typed.withColumn(
         "_reason",
-        F.coalesce(reason, F.when(~F.coalesce(is_object, F.lit(False)), "bad_record").when(F.col("_path").isNotNull(), "bad_value")),
+        F.coalesce(reason, F.when(~is_object, "bad_record").when(F.col("_path").isNotNull(), "bad_value")),
     )
     bad_path = F.when(F.col("_reason") == "bad_value", F.coalesce(path, F.col("_path")))
     return typed.select(
