@@ -32,7 +32,7 @@ RULES = [Rule("humidity_pct", "max", "100", "error"), Rule("temp_celsius", "min"
 
 
 def arrivals(spark: SparkSession, sf: str):
-    for i, (as_of, rows) in enumerate(slices(d.landing(spark, sf, FEED))):
+    for i, (as_of, rows) in enumerate(slices(spark, sf, FEED)):
         if i == BROKEN:
             wrong = F.when(F.col("main.humidity") == 50, F.lit(150)).otherwise(F.col("main.humidity"))
             rows = rows.withColumn("main", F.col("main").withField("humidity", wrong.cast("int")))
@@ -200,7 +200,7 @@ def gate_audit_log(spark, sf):
 def full_refresh(spark, sf):
     """Arrivals in reverse order: what the lookback left out is stored after a rebuild from landing."""
     house = Warehouse(spark, scratch_dir(spark, "refresh"))
-    for _, rows in reversed(list(slices(d.landing(spark, sf, FEED)))):
+    for _, rows in reversed(list(slices(spark, sf, FEED))):
         land_rows(rows, house.root, FEED)
         house.refresh(MODEL, END)
     house.refresh(MODEL, END, full_refresh=True)

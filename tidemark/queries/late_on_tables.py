@@ -24,14 +24,15 @@ FEED, MODEL = "current_weather", "int_city_hourly_weather"
 TABLE = INCREMENTAL[MODEL].table
 
 
-def arrivals(rows: DataFrame):
+def arrivals(spark: SparkSession, sf: str):
     """The three batches by extract time, but a tenth of all rows (by humidity) lands one batch later."""
     at = F.col("extracted_at").cast("timestamp_ntz")
     due = sum((at >= F.lit(c)).cast("int") for c in CUTS)
     held_up = (F.col("main.humidity") % 10 == 7).cast("int")
-    numbered = rows.withColumn("_arrival", F.least(due + held_up, F.lit(len(CUTS))))
-    for i, as_of in enumerate((*CUTS, END)):
-        yield as_of, numbered.filter(F.col("_arrival") == i).drop("_arrival")
+    arrival = F.least(due + held_up, F.lit(len(CUTS)))
+    for i, until in enumerate((*CUTS, None)):  # the last one also takes rows without humidity or extract time, however old
+        rows = d.landing(spark, sf, FEED, until=until)
+        yield until or END, rows.withColumn("_arrival", arrival).filter(F.col("_arrival") == i).drop("_arrival")
 
 
 def _late_chain(read_again: bool) -> str:
@@ -69,7 +70,7 @@ def _ledger_sql(read_again: bool) -> str:
 
 def _house(spark: SparkSession, sf: str) -> Warehouse:
     house = Warehouse(spark, scratch_dir(spark, "late"), track_late=True)
-    for as_of, rows in arrivals(d.landing(spark, sf, FEED)):
+    for as_of, rows in arrivals(spark, sf):
         land_rows(rows, house.root, FEED)
         house.refresh(MODEL, as_of)
     return house
@@ -110,7 +111,7 @@ def _streamed(spark: SparkSession, sf: str) -> str:
     sink = streams.split_by_lookback(
         root, TABLE, lambda rows: m.hourly_weather(build_staging(rows, FIELD_MAPPINGS[FEED])), "extracted_at"
     )
-    for _, rows in arrivals(d.landing(spark, sf, FEED)):
+    for _, rows in arrivals(spark, sf):
         land_rows(rows, root, FEED)
         streams.run_available(land.stream_landing(spark, root, FEED), sink, f"{root}/_checkpoints/late", "append")
     return root
