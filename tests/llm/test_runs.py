@@ -126,7 +126,8 @@ def test_query_on_odd_tables_matches_sql(spark, docs_of, odd_docs, stored_tables
 
 def test_equal_documents_side_by_side_are_not_one_stretch():
     words = [f"w{i}" for i in range(24)]
-    assert runs.find_runs([words] * 12) == [[]] * 12
-    assert runs.find_runs([["a"]] * 12) == [[]] * 12
+    longest = [f"x{i}" for i in range(400)]  # periods are sought up to a part of the longest document
+    assert runs.find_runs([longest] + [words] * 12) == [[]] * 13
+    assert runs.find_runs([longest] + [["a"]] * 12) == [[]] * 13
     inner = [*words, *["x", "y"] * 4]
     assert runs.find_runs([inner] * 12) == [brute_force(inner)] * 12 == [[(24, 8, 2)]] * 12
