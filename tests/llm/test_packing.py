@@ -137,3 +137,22 @@ def test_query(spark, odd_docs, docs_of, stored_tables):
         assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 4096
     assert len(held) <= -(-sum(r["length"] for r in rows) // 4096) + 1
     assert queries.op10_packing(spark, stored_tables(documents=docs_of([]))).count() == 0
+
+
+def test_words_of_letters_come_apart_without_marks_between():
+    """Each such word is one unit, so that lines of them need no mark between; other tokenizers get the longer way."""
+    light, last = packing._letters(PATH)
+    words = ["resttionha", "ciónadomido", "été", "a", "straße"]
+    ids = light.encode(" ".join(words), add_special_tokens=False).ids
+    assert ids == Tokenizer.from_file(PATH).encode(" ".join(words), add_special_tokens=False).ids
+    assert int(last[ids].sum()) == len(words)
+    assert [packing._of_letters(w.encode()) for w in ("É", "ab", "i̇é", "λό", "é1")] == ["é", None, None, None, None]
+
+
+def test_marks_after_letters_are_units_of_their_own():
+    texts = ["ab.%%% ab,*** ab!! ab' ab'. ab's. ab<| ab|> é.., a-b-- İx. Éa###"]
+    expected = [Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids for t in texts]
+    packing._tokenizer.cache_clear()
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing._encode(texts, PATH)] == expected
+    known = packing._tokenizer(PATH)[1]
+    assert b".%%%" in known and known[b"ab.%%%"] == known[b"ab"] + known[b".%%%"]

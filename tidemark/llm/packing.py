@@ -14,18 +14,22 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import string
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tidemark.llm.common import written
 
@@ -34,6 +38,8 @@ CAPACITY, END = 4096, 1
 REMEMBERED = 250_000
 
 
+#: ASCII marks but the apostrophe, which may belong to the letters after it.
+_MARKS = string.punctuation.replace("'", "").encode()
 #: A word between others, to tell their ids apart where many are encoded in one call.
 _BETWEEN = "\u2605"
 
@@ -42,18 +48,70 @@ _BETWEEN = "\u2605"
 def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes], list[int]]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     tokenizer = Tokenizer.from_file(path)
-    marks = {c: tokenizer.encode(c, add_special_tokens=False).ids for c in (".", ",")}
-    known = {c.encode(): np.asarray(ids, "<u4").tobytes() for c, ids in marks.items()}
-    return tokenizer, known, tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+    return tokenizer, {}, tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+
+
+@cache
+def _letters(path: str) -> tuple[Tokenizer, np.ndarray] | None:
+    """For words of lower-case Latin letters: the same merges on plain lines, and which ids end a word.
+
+    Such a word is one unit that normalization leaves alone, and its last token alone has the suffix, if the
+    tokenizer splits as below; None for any other tokenizer.
+    """
+    spec = json.loads(_tokenizer(path)[0].to_str())
+    model, split = spec["model"], (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    suffix = model.get("end_of_word_suffix")
+    alike = (
+        (spec["normalizer"] or {}).get("normalizers") == _NORMALIZERS
+        and [x.get("type") for x in split] == ["Split", "ByteLevel"]
+        and (split[0]["pattern"], split[0]["behavior"], split[0]["invert"]) == ({"Regex": _UNITS}, "Removed", True)
+        and not (split[1]["add_prefix_space"] or split[1]["use_regex"])
+        and model.get("type") == "BPE" and suffix and not model["continuing_subword_prefix"] and not model["dropout"]
+        and all(re.search(r"[^\w\s]", x["content"]) for x in spec["added_tokens"])
+    )
+    if not alike:
+        return None
+    light = Tokenizer.from_file(path)
+    light.normalizer = None
+    light.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    last = np.zeros(max(model["vocab"].values()) + 1, bool)
+    last[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+    return light, last
+
+
+#: The settings that ``_letters`` knows.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Beyond ASCII, letters up to here are the same in all versions of Unicode and compose with none of each other.
+_LATIN = "\u024f"
+
+
+def _of_letters(word: bytes) -> str | None:
+    """The lower-cased word, if it is all Latin letters and not all ASCII."""
+    lowered = "" if word.isascii() else word.decode().lower()
+    return lowered if lowered.isalpha() and max(lowered) <= _LATIN else None
 
 
 def _learn(fresh: set[bytes], path: str) -> None:
-    """Encodes words: most of them in long lines, each between two marks whose id is their own.
+    """Encodes words: those of Latin letters in plain lines, most others between two marks whose id is their own.
 
     A line that does not fall into as many parts as it has words is encoded word by word.
     """
     tokenizer, known, between = _tokenizer(path)
-    plain, odd = [], []
+    letters, plain, odd = _letters(path), [], []
+    if letters:
+        spelt = [(w, w.decode()) for w in fresh if w.isalpha() and w.islower()]  # of bytes: ASCII letters
+        spelt += [(w, s) for w in fresh if (s := _of_letters(w))]
+        for begin in range(0, len(spelt), 20_000):
+            words, texts = zip(*spelt[begin : begin + 20_000])
+            lines = [" ".join(texts[i : i + 100]) for i in range(0, len(texts), 100)]
+            encoded = letters[0].encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), "<u4")
+            ends = (4 * (np.flatnonzero(letters[1][ids]) + 1)).tolist()
+            if len(ends) == len(words):
+                raw = ids.tobytes()
+                known.update((w, raw[a:b]) for w, a, b in zip(words, (0, *ends), ends))
+        fresh = {w for w in fresh if w not in known}
     for w in fresh:
         simple = w.isascii() and b"<|" not in w and b"\0" not in w or w.decode().isalpha()
         (plain if simple and len(between) == 1 else odd).append(w)
@@ -86,26 +144,32 @@ def _encode(texts: list[str], path: str) -> Iterator[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins across ASCII white space and lower-cases what is not a special token, so the
-    ids of a text are those of its words in turn. Words are encoded once while a task remembers them; a full
-    stop or comma after a letter is a token of its own, so such words are put together from two.
+    ids of a text are those of its words in turn. Words are encoded once while a task remembers them; marks
+    after a letter are units of their own, so such words are put together from two.
     """
     _, known, _ = _tokenizer(path)
     if len(known) > REMEMBERED:
-        marks = {c: known[c] for c in (b".", b",")}
         known.clear()
-        known.update(marks)
-    split = []
+    split, fresh = [], set()
     for text in texts:
         raw = text.encode("utf-8", "replace")
-        split.append((raw if b"<|" in raw else raw.lower()).split())
-    fresh = {w for found in split for w in found if w not in known}
-    ended = {w for w in fresh if w[-1] in b".," and len(w) > 1 and 97 <= w[-2] <= 122 and b"<|" not in w}
-    fresh -= ended
-    fresh.update(x for w in ended if (x := w[:-1]) not in known)
+        words = (raw if b"<|" in raw else raw.lower()).split()
+        ids = list(map(known.get, words))
+        split.append((words, ids))
+        if None in ids:
+            fresh.update([w for w, x in zip(words, ids) if x is None])
+    ended = []
+    for w in fresh:
+        if w[-1] in _MARKS and b"<|" not in w:
+            stem = w.rstrip(_MARKS)
+            if stem and 97 <= stem[-1] <= 122:
+                ended.append((w, stem, w[len(stem) :]))
+    fresh.difference_update([w for w, _, _ in ended])
+    fresh.update(x for _, *both in ended for x in both if x not in known)
     _learn(fresh, path)
-    known.update((w, known[w[:-1]] + known[w[-1:]]) for w in ended)
-    for found in split:
-        yield b"".join(map(known.__getitem__, found))
+    known.update((w, known[stem] + known[marks]) for w, stem, marks in ended)
+    for words, ids in split:
+        yield b"".join([known[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
