@@ -202,3 +202,30 @@ def test_a_key_ties_its_nodes_across_chunks(monkeypatch):
     edges = [(r["node"], r["other"]) for r in tied if r["other"] is not None]
     node, root = components.forest(*(np.array(x) for x in zip(*edges)))
     assert dict(zip(node.tolist(), root.tolist())) == {11: 10, 13: 12, 14: 12, 15: 12, 16: 12, 17: 12, 3: 2}
+
+
+def test_credits_take_few_bytes_a_shingle():
+    """The pipeline's executors ran out of memory here: each shingle in hand was held several times over."""
+    import tracemalloc
+
+    rng, n = np.random.default_rng(1), 200_000
+    sids = rng.integers(1, 1 << 60, 50)
+    rest, owners = rng.integers(0, n // 2, n).astype(np.uint32), rng.integers(0, 51, n).astype(np.uint16)
+    row = {"part": 0, "sids": sids.tobytes(), "owners": owners.tobytes(), "rest": rest.tobytes()}
+    batch = pa.RecordBatch.from_pylist([row, row], jaccard._PACKED)
+    tracemalloc.start()
+    found = [r for b in jaccard._credit(1)(iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    of = {}
+    for r, o in zip(rest.tolist(), owners.tolist()):
+        of.setdefault(r, []).append(o)
+    credit = dict.fromkeys(range(1, 51), 0)
+    for held in of.values():
+        if 0 in held or len(set(held)) > 1:
+            for o in held:
+                if o:
+                    credit[o] += 2
+    got = {s: c for r in found for s, c in zip(np.frombuffer(r["sids"], np.int64).tolist(), np.frombuffer(r["owners"], np.uint32).tolist())}
+    assert got == {int(sids[o - 1]): c for o, c in credit.items() if c}
+    assert peak < 40 * 2 * n

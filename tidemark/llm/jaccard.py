@@ -206,19 +206,28 @@ def _credit(groups: int):
     """How many shingles of a set other sets have too, by part of the shingles: packed by groups of sets."""
 
     def credited(blocks: list[list]) -> list[dict]:
-        rests, sids, marks = [], [], []
+        # A shingle is 8 bytes, sorted in place: its 32 bits, then the place of its set among all in hand (0: marked).
+        sids, place = np.unique(np.concatenate([np.frombuffer(names, np.int64) for names, _, _ in blocks]), return_inverse=True)
+        place = np.concatenate([[0], place + 1]).astype(np.uint64)
+        held, done, named = np.empty(sum(len(rest) // 4 for _, _, rest in blocks), np.uint64), 0, 0
         for names, owners, rest in blocks:
-            rests.append(np.frombuffer(rest, np.uint32))
             local = np.frombuffer(owners, np.uint16 if len(rest) == 2 * len(owners) else np.uint32)
-            sids.append(np.concatenate([[0], np.frombuffer(names, np.int64)])[local])
-            marks.append(local == 0)
-        rest, sid, mark = (np.concatenate(x) for x in (rests, sids, marks))
-        order = np.argsort(rest, kind="stable")
-        rest, sid, mark = rest[order], sid[order], mark[order]
-        starts = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
-        shared = np.logical_or.reduceat(mark, starts) | (np.minimum.reduceat(sid, starts) != np.maximum.reduceat(sid, starts))
-        hit = np.repeat(shared, np.diff(np.append(starts, rest.size))) & ~mark
-        return list(_by_set(*np.unique(sid[hit], return_counts=True), groups))
+            own = place[named : named + len(names) // 8 + 1].copy()
+            own[0] = 0
+            part = held[done : done + local.size]
+            part[:] = np.frombuffer(rest, np.uint32)
+            part <<= np.uint64(32)
+            part |= own[local]
+            done, named = done + local.size, named + len(names) // 8
+        held.sort()
+        owner = held.astype(np.uint32)
+        held >>= np.uint64(32)
+        starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        sizes = np.diff(np.append(starts, held.size))
+        least = owner[starts]
+        shared = (least == 0) | (least != owner[starts + sizes - 1])
+        credit = np.bincount(owner[np.repeat(shared, sizes)], minlength=sids.size + 1)[1:]
+        return list(_by_set(sids[credit > 0], credit[credit > 0], groups))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _grouped(batches):
