@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.queries import derived as d
-from tidemark.queries.incremental_on_tables import CUTS, slices
+from tidemark.queries.incremental_on_tables import CUTS, land_rows, slices
 from tidemark.session import use_utc
+from tidemark.sources import landing as land
 
 
 @pytest.fixture
@@ -45,3 +46,13 @@ def test_an_arrival_deals_only_the_events_it_can_hold(spark, events):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     dealt = plan[plan.index("RepartitionByExpression"):]
     assert "Filter" in dealt and "2024-01-10 22:00:00" in dealt and "2024-01-21 00:00:00" in dealt
+
+
+def test_arrivals_are_dealt_by_time_and_written_by_day_without_another_shuffle_or_sort(spark, events):
+    _, rows = list(slices(spark, events, "air_pollution"))[1]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning(ts") == plan.count("Exchange ") == 1
+    land_rows(rows, events, "air_pollution")
+    landed = land.read_landing(spark, events, "air_pollution")
+    assert landed.select(land.PARTITION).distinct().count() == 10
+    assert landed.select(*rows.columns).exceptAll(rows).isEmpty() and landed.count() == rows.count()

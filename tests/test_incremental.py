@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +224,21 @@ def test_backfill_restores_keys(spark, root):
     for _ in range(2):
         assert inc.rewrite_keys(spark, root, table, m.city_hour_key()) == 2
         assert h.rows(house.table("int_city_hourly_weather"), "city_hour_key", "city") == before
+
+
+def test_days_the_target_does_not_hold_yet_are_moved_in_not_written_again(spark, root, monkeypatch):
+    table = Table("t", "marts", "k", "day", "day", timedelta(days=1))
+
+    def rows(*values):
+        return spark.createDataFrame([(k, date.fromisoformat(d) if d else None, v) for k, d, v in values], "k string, day date, v int")
+
+    inc.delete_insert(spark, root, table, rows(("a", "2024-01-01", 1), ("b", "2024-01-02", 1)))
+    merged, write = [], partitions.write_days
+    monkeypatch.setattr(partitions, "write_days", lambda df, path, part: (merged.append(df.count()), write(df, path, part)))
+    batch = rows(("b", "2024-01-02", 2), ("c", "2024-01-03", 2), ("d", None, 2))
+    wrote = inc.delete_insert(spark, root, table, batch)
+    assert merged == [1] and wrote == sorted(["2024-01-02", "2024-01-03", "__HIVE_DEFAULT_PARTITION__"])
+    stored = inc.read_table(spark, table.path(root)).select("k", F.col("day").cast("string"), "v").collect()
+    assert sorted(map(tuple, stored)) == [("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("c", "2024-01-03", 2), ("d", None, 2)]
+    inc.delete_insert(spark, root, table, rows(("e", "2024-01-05", 3)))
+    assert merged == [1] and inc.read_table(spark, table.path(root)).count() == 5

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from tests import helpers as h
@@ -75,3 +77,18 @@ def test_late_rows_are_dropped_by_the_watermark(spark, root):
         )
         streams.run_available(rolled, collect, f"{root}/_ck/c")
     assert ("A", 1) in seen and "LATE" not in {c for c, _ in seen}
+
+
+def test_state_has_no_more_partitions_than_the_cores_need(spark, root, monkeypatch):
+    monkeypatch.setattr(streams, "STATES", 1)
+    before, cores = spark.conf.get(streams.PARTITIONS), spark.sparkContext.defaultParallelism
+    spark.conf.set(streams.PARTITIONS, 3 * cores)
+    try:
+        spark.range(5).selectExpr("id", "timestamp'2024-01-01' as at").write.parquet(f"{root}/in")
+        stream = spark.readStream.schema("id long, at timestamp").parquet(f"{root}/in")
+        seen = []
+        streams.run_available(streams.drop_repeats(stream, ["id"], "at"), lambda b, _: seen.append(b.count()), f"{root}/cp", "append")
+        assert sum(seen) == 5 and spark.conf.get(streams.PARTITIONS) == str(3 * cores)
+        assert len([p for p in os.listdir(f"{root}/cp/state/0") if p.isdigit()]) == cores
+    finally:
+        spark.conf.set(streams.PARTITIONS, before)

@@ -53,7 +53,7 @@ def _winners(arrived: str) -> str:
 
 def _streamed(spark: SparkSession, sf: str) -> str:
     root = scratch_dir(spark, "gate-stream")
-    replace = streams.keyed_replace(root, TABLE, lambda rows: m.hourly_weather(build_staging(rows, FIELD_MAPPINGS[FEED])))
+    replace = streams.keyed_replace(root, TABLE, lambda rows: m.hourly_weather(build_staging(rows, FIELD_MAPPINGS[FEED])), unique=True)
     sink = gate.gated(root, FEED, FIELD_MAPPINGS[FEED], RULES, replace)
     for _, _, rows in arrivals(spark, sf):
         land_rows(rows, root, FEED)
@@ -182,7 +182,7 @@ def gate_audit_log(spark, sf):
     """Two runs of the seeded checks, read back from the log; one stream has no landing table, so both runs block."""
     root = scratch_dir(spark, "audit")
     for feed in STREAMS[:2]:
-        land_rows(d.landing(spark, sf, feed), root, feed)
+        land_rows(d.landing(spark, sf, feed, in_order=True), root, feed)
     config = _only(cfg.seed_config(spark), *STREAMS)
     for run in (1, 2):
         try:

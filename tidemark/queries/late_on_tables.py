@@ -31,7 +31,7 @@ def arrivals(spark: SparkSession, sf: str):
     held_up = (F.col("main.humidity") % 10 == 7).cast("int")
     arrival = F.least(due + held_up, F.lit(len(CUTS)))
     for i, until in enumerate((*CUTS, None)):  # the last one also takes rows without humidity or extract time, however old
-        rows = d.landing(spark, sf, FEED, until=until)
+        rows = d.landing(spark, sf, FEED, until=until, in_order=True)
         yield until or END, rows.withColumn("_arrival", arrival).filter(F.col("_arrival") == i).drop("_arrival")
 
 
@@ -109,7 +109,7 @@ def _streamed(spark: SparkSession, sf: str) -> str:
     """The same arrivals as a stream; the ledger takes the rows behind the stored mark."""
     root = scratch_dir(spark, "late-stream")
     sink = streams.split_by_lookback(
-        root, TABLE, lambda rows: m.hourly_weather(build_staging(rows, FIELD_MAPPINGS[FEED])), "extracted_at"
+        root, TABLE, lambda rows: m.hourly_weather(build_staging(rows, FIELD_MAPPINGS[FEED])), "extracted_at", unique=True
     )
     for _, rows in arrivals(spark, sf):
         land_rows(rows, root, FEED)
