@@ -64,6 +64,15 @@ def test_scores_equal_batch_and_state_shrinks(spark, root):
     assert h.rows(read_table(spark, TABLE.path(root)).select(*expected.columns)) == h.rows(expected)
 
 
+def test_only_what_a_score_needs_waits_in_state(spark, root):
+    """Equal ranks are still decided by whole rows, as in the batch model."""
+    _predict(spark, root, "2026-01-05 06:00:00", "A", "2026-01-05 08:00:00")
+    _observe(spark, root, "2026-01-05 08:10:00", "A", "2026-01-05 08:05:00")
+    forecasts, weather = (build_staging(landing.stream_landing(spark, root, f), FIELD_MAPPINGS[f]) for f in FEEDS)
+    assert set(scoring.predictions(forecasts).columns) == {"_closed", *scoring.PREDICTED}
+    assert set(scoring.observations(weather).columns) == {"_closed", *scoring.OBSERVED}
+
+
 def test_repeats_within_the_watermark_are_dropped(spark, root):
     def run():
         stream = landing.stream_landing(spark, root, "traffic_incidents").select(
