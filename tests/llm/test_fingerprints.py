@@ -66,3 +66,13 @@ def test_order_of_documents(spark, odd_docs, docs_of):
 
 def test_odd_documents(spark, odd_docs, stored_tables):
     assert queries.op1_fingerprints(spark, stored_tables(documents=odd_docs)).count() == odd_docs.count()
+
+
+def test_the_next_text_comes_with_its_sketch(docs_of):
+    """A text is digested and sketched once; the document before it gets the result, not only the text."""
+    found = fingerprints.with_next(docs_of([(i, f"{i}\n" * i + "x" * 300) for i in range(1, 40)] + [(50, None)]))
+    again = [fingerprints.digests(F.col("next_text")), fingerprints.digests(F.col("text"))]
+    sets = found.select("own", "own_cells", "next", "next_cells", *[c.alias(a) for c, a in zip(again, ("n", "o"))])
+    rows = sets.select("*", fingerprints.sketch(F.col("n")).alias("nc"), fingerprints.sketch(F.col("o")).alias("oc")).collect()
+    assert len(rows) == 40
+    assert all((r["next"], r["next_cells"], r["own"], r["own_cells"]) == (r["n"], r["nc"], r["o"], r["oc"]) for r in rows)

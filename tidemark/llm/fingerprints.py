@@ -24,7 +24,9 @@ TABLES = 3
 #: Cells of each table of a fingerprint.
 CELLS = 16
 #: Digests of both versions that share one retried sketch on average, and the cells of each table in the tries.
-SHARE, RETRIES = 40, (20, 40, 120)
+SHARE, RETRIES = 40, (24, 40, 120)
+#: Empty cells of a difference of two fingerprints up to which it holds too many digests to be peeled, so it is retried at once.
+FREE = 5
 #: Peeling ends by itself when no cell is pure; this bounds the rounds.
 ROUNDS = 24
 #: Ranges of ids for each shuffle partition when documents are put in order.
@@ -97,7 +99,9 @@ def sketch(found: Column, cells: int = CELLS, minus: Column | None = None) -> Co
         def at(c: Column) -> Column:
             begin, end = F.get(x["s"], c), F.get(x["s"], c + 1)
             own = F.slice(x["e"], (begin + 1).cast("int"), (end - begin - 1).cast("int"))
-            return F.when(end - begin == 1, blank).otherwise(_let(own, cell))
+            only = F.get(x["e"], begin.cast("int"))  # the entry after the cell's mark
+            alone = F.struct((F.lit(1) if minus is None else only["n"]).alias("n"), only["d"].alias("key"), only["k"].alias("check"))
+            return _let(end - begin, lambda held: F.when(held == 1, blank).when(held == 2, alone).otherwise(_let(own, cell)))
 
         return F.transform(F.sequence(F.lit(0), F.lit(total - 1)), at)
 
@@ -126,31 +130,34 @@ def subtract(a: Column, b: Column) -> Column:
 
 def peel(difference: Column, cells: int = CELLS) -> Column:
     """struct<only_a, only_b, whole>: the digests recovered from a difference, and whether that is all of them."""
-    key_type = "array<struct<d:bigint,n:int,check:bigint,at:array<int>>>"
+    key_type = f"array<struct<d:bigint,n:int,check:bigint,{','.join(f'at{t}:int' for t in range(TABLES))}>>"
 
     def pure(c: Column) -> Column:
         return (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"]))
 
     def described(c: Column) -> Column:
-        at = F.array(*[_cell(c["key"], t, cells) for t in range(TABLES)])
-        return F.struct(c["key"].alias("d"), c["n"].alias("n"), c["check"].alias("check"), at.alias("at"))
+        at = [_cell(c["key"], t, cells).alias(f"at{t}") for t in range(TABLES)]
+        return F.struct(c["key"].alias("d"), c["n"].alias("n"), c["check"].alias("check"), *at)
 
     def without(held: Column, keys: Column) -> Column:
-        def taken(c: Column, i: Column) -> Column:
-            return F.aggregate(
-                keys,
-                c,
-                lambda a, k: F.when(
-                    F.array_contains(k["at"], i),
-                    F.struct(
-                        (a["n"] - k["n"]).alias("n"),
-                        a["key"].bitwiseXOR(k["d"]).alias("key"),
-                        a["check"].bitwiseXOR(k["check"]).alias("check"),
-                    ),
-                ).otherwise(a),
-            )
-
-        return F.transform(held, taken)
+        def table(t: int) -> Column:
+            def taken(c: Column, i: Column) -> Column:
+                return F.aggregate(
+                    keys,
+                    c,
+                    lambda a, k: F.when(
+                        k[f"at{t}"] == i + t * cells,
+                        F.struct(
+                            (a["n"] - k["n"]).alias("n"),
+                            a["key"].bitwiseXOR(k["d"]).alias("key"),
+                            a["check"].bitwiseXOR(k["check"]).alias("check"),
+                        ),
+                    ).otherwise(a),
+                )
+
+            return F.transform(F.slice(held, t * cells + 1, cells), taken)
+
+        return F.concat(*[table(t) for t in range(TABLES)])
 
     def one_round(s: Column, _: Column) -> Column:
         keys = F.array_distinct(F.transform(F.filter(s["cells"], pure), described))
@@ -204,7 +211,8 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
 
     All four should be plain columns of their own projection, so that none is computed more than once.
     """
-    first = peel(subtract(sketch_a, sketch_b))
+    unlike = subtract(sketch_a, sketch_b)
+    crowded = F.size(F.filter(unlike, lambda c: (c["n"] == 0) & (c["key"] == 0))) <= FREE
 
     def retried(p: Column, sizes: tuple[int, ...]) -> Column:
         tried = peel(sketch(p["x"], sizes[0], minus=p["y"]), sizes[0])
@@ -213,7 +221,8 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
     shares = F.ceil((F.size(a) + F.size(b)) / SHARE).cast("int")
 
     def larger() -> Column:
-        pairs = F.arrays_zip(_shares(a, shares).alias("x"), _shares(b, shares).alias("y"))
+        split = [F.when(shares <= 1, F.array(s)).otherwise(_shares(s, shares)) for s in (a, b)]
+        pairs = F.arrays_zip(split[0].alias("x"), split[1].alias("y"))
         return _let(
             F.transform(pairs, lambda p: retried(p, RETRIES)),
             lambda parts: F.struct(
@@ -223,6 +232,9 @@ def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colu
             ),
         )
 
+    nothing = F.expr(_NO_DIGESTS)
+    spared = F.struct(nothing.alias("only_a"), nothing.alias("only_b"), F.lit(False).alias("whole"))
+    first = F.when(crowded, spared).otherwise(peel(unlike))
     return _let(first, lambda r: F.when(r["whole"], r).otherwise(larger()))
 
 
@@ -245,7 +257,9 @@ def encoded(found: Column, cells: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the text of the next document by descending id; after the last, the first.
+    """doc_id, text, its digests ``own`` and their sketch ``own_cells``; next_text, next and next_cells: those of the next document.
+
+    Next is by descending id; after the last, the first. A text is digested and sketched once, where its row lies.
 
     Equal ids follow each other by text, null ids come last; a null text is empty. Ids are cut into ranges
     at their approximate quantiles (a number of bounds that follows the shuffle partitions). The largest
@@ -277,10 +291,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("copy"))
     places = F.when(largest, F.array(own, F.struct(above.alias("range"), F.lit(True).alias("copy")))).otherwise(F.array(own))
     order = Window.partitionBy("range").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
-    return (
+    placed = (
         ranged.withColumn("place", F.explode(places))
         .select("doc_id", "text", F.col("place.range").alias("range"), F.col("place.copy").alias("copy"))
-        .withColumn("next_text", F.lead("text").over(order))
+        .repartition("range")
+    )
+    sketched = placed.withColumn("own", digests(F.col("text"))).withColumn("own_cells", sketch(F.col("own")))
+    following = {"next_text": "text", "next": "own", "next_cells": "own_cells"}
+    return (
+        sketched.withColumns({name: F.lead(c).over(order) for name, c in following.items()})
         .where(~F.col("copy"))
-        .select("doc_id", "text", "next_text")
+        .select("doc_id", "text", "own", "own_cells", *following)
     )

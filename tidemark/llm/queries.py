@@ -15,14 +15,16 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, text = F.length("text"), F.col("text")
     taken = F.floor(n / 3).cast("int")
     edited = F.concat(F.substr(text, F.lit(1), n - taken), F.substr(F.col("next_text"), F.lit(1), taken))
-    texts = docs.select("doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"), "next_text")
+    sketches = ("own", "own_cells", "next", "next_cells")
+    texts = docs.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), *sketches)
     sets = texts.select(
         "doc_id",
         "n_chars",
         sha256_hex(F.col("edited")).alias("edited_sha256"),
-        *[fingerprints.digests(F.col(c)).alias(a) for c, a in (("text", "own"), ("edited", "new"), ("next_text", "next"))],
+        fingerprints.digests(F.col("edited")).alias("new"),
+        *sketches,
     )
-    cells = sets.select("*", *[fingerprints.sketch(F.col(c)).alias(f"{c}_cells") for c in ("own", "new", "next")])
+    cells = sets.select("*", fingerprints.sketch(F.col("new")).alias("new_cells"))
 
     def compared(other: str) -> Column:
         return fingerprints.difference(F.col("own"), F.col(other), F.col("own_cells"), F.col(f"{other}_cells"))
