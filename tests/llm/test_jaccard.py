@@ -229,3 +229,14 @@ def test_credits_take_few_bytes_a_shingle():
     got = {s: c for r in found for s, c in zip(np.frombuffer(r["sids"], np.int64).tolist(), np.frombuffer(r["owners"], np.uint32).tolist())}
     assert got == {int(sids[o - 1]): c for o, c in credit.items() if c}
     assert peak < 40 * 2 * n
+
+
+def test_sorted_shingles_are_compared_in_stretches(monkeypatch):
+    """Equal shingles stay together, also where they fill more than a stretch."""
+    monkeypatch.setattr(jaccard, "STRETCH", 4)
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 3, 3, 9, (1 << 32) - 1, (1 << 32) - 1, (1 << 32) - 1, (1 << 32) - 1, (1 << 32) - 1]
+    held = np.array([k << 32 | i for i, k in enumerate(keys)], np.uint64)
+    found = [(x >> np.uint64(32)).tolist() for x in jaccard._stretches(held)]
+    assert sum(found, []) == keys and len(found) > 2
+    assert all(a[-1] != b[0] for a, b in zip(found, found[1:]))
+    assert list(jaccard._stretches(held[:0])) == []

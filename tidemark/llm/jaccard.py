@@ -49,6 +49,8 @@ CHUNK = 1_000_000
 PACKED = 400_000
 #: Shingles that are counted together: bounds a task's memory.
 COUNTED = 1_000_000
+#: Of these, how many are compared at a time.
+STRETCH = 100_000
 #: Distinct sets whose credits are summed together, and the fewest groups of them.
 SUMMED, SUMS = 1_000_000, 64
 #: Nodes that may link, whose table of four numbers each is broadcast; more are joined by shuffle.
@@ -202,6 +204,20 @@ def _scan_shared(shingle: int, bits: int, groups: int):
 _PACKED = pa.schema([("part", pa.int64()), ("sids", pa.binary()), ("owners", pa.binary()), ("rest", pa.binary())])
 
 
+def _stretches(held: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted shingles in stretches of about STRETCH, so that what is derived from them is small; equal ones stay together."""
+    low = 0
+    while low < held.size:
+        high = held.size
+        if low + STRETCH < held.size:
+            first = held[low + STRETCH] & ~np.uint64(0xFFFFFFFF)
+            high = int(np.searchsorted(held, first))
+            if high <= low:  # one shingle fills the stretch
+                high = int(np.searchsorted(held, first | np.uint64(0xFFFFFFFF), side="right"))
+        yield held[low:high]
+        low = high
+
+
 def _credit(groups: int):
     """How many shingles of a set other sets have too, by part of the shingles: packed by groups of sets."""
 
@@ -220,13 +236,16 @@ def _credit(groups: int):
             part |= own[local]
             done, named = done + local.size, named + len(names) // 8
         held.sort()
-        owner = held.astype(np.uint32)
-        held >>= np.uint64(32)
-        starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
-        sizes = np.diff(np.append(starts, held.size))
-        least = owner[starts]
-        shared = (least == 0) | (least != owner[starts + sizes - 1])
-        credit = np.bincount(owner[np.repeat(shared, sizes)], minlength=sids.size + 1)[1:]
+        credit = np.zeros(sids.size + 1, np.int64)
+        for some in _stretches(held):
+            owner, key = some.astype(np.uint32), (some >> np.uint64(32)).astype(np.uint32)
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sizes = np.diff(np.append(starts, key.size))
+            least = owner[starts]
+            shared = (least == 0) | (least != owner[starts + sizes - 1])
+            places, counts = np.unique(owner[np.repeat(shared, sizes)], return_counts=True)
+            credit[places] += counts
+        credit = credit[1:]
         return list(_by_set(sids[credit > 0], credit[credit > 0], groups))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
