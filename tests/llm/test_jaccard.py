@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidemark.llm import components, jaccard, queries
 
@@ -240,3 +242,51 @@ def test_sorted_shingles_are_compared_in_stretches(monkeypatch):
     assert sum(found, []) == keys and len(found) > 2
     assert all(a[-1] != b[0] for a, b in zip(found, found[1:]))
     assert list(jaccard._stretches(held[:0])) == []
+
+
+def test_most_sets_are_settled_by_a_part_of_their_shingles(spark, docs_of, prose, monkeypatch):
+    """At 6 GB the packed shingles took more disk than the stage may use: all of them were shuffled at once."""
+    assert [jaccard._first_bits(p) for p in (15, 60, 80, 90, 100)] == [0, 0, 1, 2, 4]
+    texts = [" ".join(prose(i, 300)) for i in range(40)]
+    whole = [jaccard.shingles(t, 5) for t in texts]
+    scan = lambda *a: [r for b in jaccard._scan_shared(5, 0, 4, *a)(iter([pa.record_batch([pa.array(texts)], ["text"])])) for r in b.to_pylist()]
+    count = lambda rows: sum(len(r["rest"]) // 4 for r in rows if r["part"] >= 0)
+    for bits in (1, 2, 4):
+        early = sum(jaccard._early(x, bits) for x in whole)
+        assert count(scan(bits)) == early < 1.3 * count(scan()) / (1 << bits)
+        assert count(scan(bits, False)) == count(scan()) - early
+    scanned = []
+    monkeypatch.setattr(jaccard, "_credits", lambda texts, total, *a, f=jaccard._credits, **k: scanned.append(total) or f(texts, total, *a, **k))
+    near = [(100 + i, " ".join(prose(7, 200) + [f"end{i}"])) for i in range(3)]
+    found = {r["doc_id"]: r["component"] for r in jaccard.classes(docs_of([*enumerate(texts), *near]), 5, 80).collect()}
+    assert found == {i: 100 if i >= 100 else i for i in found}
+    assert sum(scanned) < 0.75 * sum(x.size for x in whole)
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    from tidemark.llm.common import WRITING, written
+
+    def files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {x for x in disk.getAllFiles().mkString("\n").split("\n") if x.endswith(".data")}
+
+    before, settings = files(), {k: spark.conf.get(k) for k in WRITING}
+    out = written(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "tidy")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert {k: spark.conf.get(k) for k in WRITING} == settings
+    assert sorted(r["count"] for r in out.collect()) == [714] * 5 + [715] * 2
+
+
+def test_a_step_gives_its_memory_back_after_its_last_batch(monkeypatch):
+    """Workers that waited kept what their tasks had taken, beside those at work."""
+    from tidemark.llm import common
+
+    calls, pool = [], pa.default_memory_pool()
+    monkeypatch.setattr(common, "returned", lambda f=common.returned: calls.append(pool.bytes_allocated()) or f())
+    batches = [pa.record_batch([pa.array(["x" * 1000] * 1000)], ["a"])] * 3
+    run = common.tidy(lambda batches: (b.slice(0, 1) for b in batches))(iter(batches))
+    assert [b.num_rows for b in run] == [1, 1, 1] and len(calls) == 1

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import tidy, written
 
 #: Edges that a task contracts at a time.
 CHUNK = 500_000
@@ -57,7 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges between what is still apart shrink by half at least. Tasks contract what they hold beforehand. Every
     round is stored in the shared scratch folder; only counts reach the driver.
     """
-    small = edges.select("a", "b").where("a <> b").mapInArrow(_contract, "a bigint, b bigint")
+    small = edges.select("a", "b").where("a <> b").mapInArrow(tidy(_contract), "a bigint, b bigint")
     left = written(small.distinct(), "components-edges")
     labels = None
     while not left.isEmpty():

@@ -4,6 +4,8 @@
 2. Links need common shingles: a set that links at p percent has at least p percent of its shingles in other
    sets too. Shingles are counted over all distinct sets, and sets with fewer shared ones are settled: they link
    with nothing. So documents that have only passages in common go no further, however long the passages.
+   A part of all shingles, by their hash, is counted first: a set lacks at most 100 - p percent of its size there as
+   well, so most sets are settled by that part, and the rest of the shingles is counted among the other sets only.
 3. Candidates among the rest: sets that link differ in few shingles, so if the shingles are dealt into more
    segments than that number, some segment is equal in both. Each set gives a key for each of its segments, for
    the size class it is in and the one below. Connected components of nodes with common keys are the clusters
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import returned, tidy, written
 from tidemark.llm.components import components, forest
 from tidemark.llm.contamination import row_key
 
@@ -151,9 +153,24 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list
         yield part, rows
 
 
-def _scan_shared(shingle: int, bits: int, groups: int):
+def _first_bits(percent: int) -> int:
+    """Shingles whose hash begins with so many zero bits are counted first: a share that is 2.5 times what a set may lack, at least."""
+    bits = 0
+    while bits < 4 and 5 * (100 - percent) << bits + 1 <= 200:
+        bits += 1
+    return bits
+
+
+def _early(found: np.ndarray, first_bits: int) -> int:
+    """How many of a set's shingles are among those counted first."""
+    return int(np.searchsorted(found, np.uint64(1 << 64 - first_bits))) if first_bits else found.size
+
+
+def _scan_shared(shingle: int, bits: int, groups: int, first_bits: int = 0, first: bool = True):
     """Shingles by part (their first ``bits`` bits) for every PACKED of them, packed, each with the set it is in.
 
+    Of each set those that begin with ``first_bits`` zero bits (which are cut off), or if not ``first`` all others.
+
     A shingle of several sets in hand is sent once, marked; what it credits to those sets leaves in rows of part < 0,
     one for each of ``groups`` groups of sets.
     """
@@ -188,10 +205,12 @@ def _scan_shared(shingle: int, bits: int, groups: int):
         for batch in batches:
             for text in batch.column("text"):
                 found = shingles(text.as_py(), shingle)
-                if found.size:
+                edge = _early(found, first_bits)
+                part = found[:edge] << np.uint64(first_bits) if first else found[edge:]
+                if part.size:
                     sid = int(_mixed(found ^ _A).sum().view(np.int64))
-                    size += 0 if sid in held else found.size
-                    held[sid] = found
+                    size += 0 if sid in held else part.size
+                    held[sid] = part
                 if size > PACKED:
                     yield flush(held)
                     held, size = {}, 0
@@ -270,23 +289,44 @@ def _sum_credits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(sids), pa.array(credit.astype(np.int64))], ["sid", "credit"])
 
 
-def _may_link(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The nodes at least ``percent`` of whose shingles are in other sets too; no other node has a link.
+def _credits(texts: DataFrame, total: int, different: int, shingle: int, first_bits: int = 0, first: bool = True) -> DataFrame:
+    """(s1, credit): how many shingles of a set are in other sets of ``texts`` too; sets without any are left out.
 
     Shingles are compared by their part and 32 bits more, so a few may be taken for shared that are not.
     """
-    total, different = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    bits, groups = min(32, (total // COUNTED).bit_length()), max(SUMS, different // SUMMED)
+    bits, groups = min(28, (total // COUNTED).bit_length()), max(SUMS, different // SUMMED)
     rows = "part bigint, sids binary, owners binary"
 
     def dealt(packed: DataFrame) -> DataFrame:
         return packed.repartition("part").sortWithinPartitions("part")
 
-    packed = texts.select("text").mapInArrow(_scan_shared(shingle, bits, groups), f"{rows}, rest binary")
-    credits = dealt(packed).mapInArrow(_credit(groups), rows)
-    shared = dealt(credits).mapInArrow(_sum_credits, "sid bigint, credit bigint")
-    enough = F.col("credit") * 100 >= F.col("n") * percent
-    return nodes.join(shared.withColumnRenamed("sid", "s1"), "s1").where(enough).drop("credit")
+    packed = texts.select("text").mapInArrow(tidy(_scan_shared(shingle, bits, groups, first_bits, first)), f"{rows}, rest binary")
+    credits = dealt(packed).mapInArrow(tidy(_credit(groups)), rows)
+    return dealt(credits).mapInArrow(tidy(_sum_credits), "sid bigint, credit bigint").withColumnRenamed("sid", "s1")
+
+
+def texts_of(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose keys are in ``rows``, with its columns."""
+    few = rows.count() <= BROADCAST_ROWS
+    return texts.select("key_a", "key_b", "text").join(F.broadcast(rows) if few else rows, ["key_a", "key_b"])
+
+
+def _may_link(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int, first_bits: int = 0) -> DataFrame:
+    """The nodes at least ``percent`` of whose shingles are in other sets too; no other node has a link.
+
+    With ``first_bits`` the shingles that begin with so many zero bits, of which a node has ``early``, are counted first. A
+    set that lacks too many of them is settled; the others are counted in the sets that are left.
+    """
+    early, credit = F.col("early" if first_bits else "n"), F.coalesce("credit", F.lit(0))
+    total, different = nodes.agg(F.coalesce(F.sum(early), F.lit(0)), F.count("*")).first()
+    counted = nodes.join(_credits(texts, total, different, shingle, first_bits), "s1", "left")
+    counted = counted.withColumn("seen", credit).drop("credit").where((early - F.col("seen")) * 100 <= F.col("n") * (100 - percent))
+    if not first_bits:
+        return counted
+    counted = written(counted, "jaccard-early")
+    total, different = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    rest = _credits(texts_of(texts, counted.select("key_a", "key_b")), total, different, shingle, first_bits, first=False)
+    return counted.join(rest, "s1", "left").where((F.col("seen") + credit) * 100 >= F.col("n") * percent)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -387,6 +427,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     key_set: hash of the document's set; component: the smallest node of the class (a document's node is the smallest id with its set); n_links:
     linked documents, those with the same set included.
     """
+    first_bits = _first_bits(percent)
     a, b = row_key(docs)
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("id"), a.alias("key_a"), b.alias("key_b"), F.col("text").cast("string").alias("text")
@@ -394,33 +435,31 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
+            n, early = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             s1, s2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
             for i, text in enumerate(batch.column("text")):  # one set is held at a time
                 found = shingles(text.as_py(), shingle)
-                n[i], s1[i], s2[i] = found.size, _mixed(found ^ _A).sum(), _mixed(found ^ _B).sum()
+                n[i], early[i] = found.size, _early(found, first_bits)
+                s1[i], s2[i] = _mixed(found ^ _A).sum(), _mixed(found ^ _B).sum()
             ids = batch.column("id").fill_null(-1).to_numpy()
             missing = batch.column("id").is_null().to_numpy(zero_copy_only=False)
             node = np.where(missing, NO_ID + (s1 >> np.uint64(3)).astype(np.int64), ids)
-            numbers = map(pa.array, (node, n, s1.view(np.int64), s2.view(np.int64)))
+            numbers = map(pa.array, (node, n, early, s1.view(np.int64), s2.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("key_a"), batch.column("key_b"), *numbers],
-                names=["doc_id", "key_a", "key_b", "node", "n", "s1", "s2"],
+                names=["doc_id", "key_a", "key_b", "node", "n", "early", "s1", "s2"],
             )
 
-    every = written(
-        keyed.mapInArrow(to_sets, "doc_id bigint, key_a bigint, key_b bigint, node bigint, n bigint, s1 bigint, s2 bigint"),
-        "jaccard-sets",
-    )
+    columns = "doc_id bigint, key_a bigint, key_b bigint, node bigint, n bigint, early bigint, s1 bigint, s2 bigint"
+    every = written(keyed.mapInArrow(tidy(to_sets), columns), "jaccard-sets")
     filled = every.where("n > 0")
     nodes = filled.groupBy("s1", "s2").agg(
-        F.min(F.struct("node", "key_a", "key_b")).alias("r"), F.count("*").alias("copies"), F.first("n").alias("n")
-    )
-    nodes = written(nodes.select("s1", "s2", "r.*", "copies", "n"), "jaccard-nodes")
-    alive = written(_may_link(keyed, nodes, shingle, percent).select("key_a", "key_b", "node", "copies"), "jaccard-alive")
-    few = alive.count() <= BROADCAST_ROWS
-    chosen = keyed.select("key_a", "key_b", "text").join(F.broadcast(alive) if few else alive, ["key_a", "key_b"])
-    chosen = chosen.dropDuplicates(["key_a", "key_b"])  # repeated rows
+        F.min(F.struct("node", "key_a", "key_b")).alias("r"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.first("early").alias("early"),
+    )
+    nodes = written(nodes.select("s1", "s2", "r.*", "copies", "n", "early"), "jaccard-nodes")
+    alive = written(_may_link(keyed, nodes, shingle, percent, first_bits).select("key_a", "key_b", "node", "copies"), "jaccard-alive")
+    chosen = texts_of(keyed, alive).dropDuplicates(["key_a", "key_b"])  # repeated rows
 
     def to_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -429,12 +468,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("copies"), *lists], names=["node", "copies", "found", "keys"])
 
     sets = chosen.select("node", "copies", "text").mapInArrow(
-        to_members, "node bigint, copies bigint, found array<bigint>, keys array<bigint>"
+        tidy(to_members), "node bigint, copies bigint, found array<bigint>, keys array<bigint>"
     )
     sets = written(sets, "jaccard-alive-sets")
     combined = "key bigint, node bigint, other bigint"
-    ties = sets.select("node", "keys").mapInArrow(_combine, combined)
-    ties = ties.repartition("key").sortWithinPartitions("key").mapInArrow(_combine, combined)
+    ties = sets.select("node", "keys").mapInArrow(tidy(_combine), combined)
+    ties = ties.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_combine), combined)
     clusters = components(ties.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
 
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -452,6 +491,8 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
         columns = (table.column(c).to_numpy() for c in ("node", "side", "copies"))
         one, other, node, links = product(*columns, found, pair["x"] != pair["y"], percent)
         some = links > 0
+        del found
+        returned()
         return pa.table({
             "a": np.concatenate([one, node[some]]),
             "b": pa.concat_arrays([pa.array(other), pa.nulls(int(some.sum()), pa.int64())]),

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import tidy
+
 #: Trigrams are hashed to this many buckets, so a model has languages x BUCKETS numbers whatever the corpus size.
 BUCKETS = 1 << 16
 #: Iterations of expectation-maximisation at most; it stops earlier once no proportion moves by SETTLED.
@@ -114,7 +116,7 @@ def fit(docs: DataFrame) -> Model:
     counts = (
         docs.where("text is not null and lang is not null")
         .select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-        .mapInArrow(_count, "lang string, bucket int, n bigint")
+        .mapInArrow(tidy(_count), "lang string, bucket int, n bigint")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toArrow()

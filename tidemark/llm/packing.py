@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tidemark.llm.common import written
+from tidemark.llm.common import tidy, written
 
 CAPACITY, END = 4096, 1
 #: Token ids of words that a task remembers before it starts over: bounds a task's memory.
@@ -201,7 +201,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
                 kinds = (batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=out.names)
 
-    return docs.select("doc_id", F.col(text).cast("string").alias("text")).mapInArrow(cut, out)
+    return docs.select("doc_id", F.col(text).cast("string").alias("text")).mapInArrow(tidy(cut), out)
 
 
 class Plan:
