@@ -64,6 +64,29 @@ def test_scores_equal_batch_and_state_shrinks(spark, root):
     assert h.rows(read_table(spark, TABLE.path(root)).select(*expected.columns)) == h.rows(expected)
 
 
+def test_waiting_predictions_can_lie_on_disk(spark, root):
+    """At 6 GB the state of an arrival did not fit the executors' heap."""
+    def run(**where):
+        staged = [build_staging(landing.stream_landing(spark, root, f), FIELD_MAPPINGS[f]) for f in FEEDS]
+        scored = scoring.score_on_arrival(*staged).withColumn("forecast_date_utc", F.to_date("forecast_at"))
+        done = streams.run_available(scored, streams.keyed_replace(root, TABLE), f"{root}/_ck", "append", **where)
+        return [s["customMetrics"] for p in done.recentProgress for s in p["stateOperators"]]
+
+    before = {key: spark.conf.get(key, None) for key in streams.STATE}
+    _predict(spark, root, "2026-01-05 06:00:00", "A", "2026-01-05 08:00:00")
+    _observe(spark, root, "2026-01-05 08:10:00", "A", "2026-01-05 08:05:00")
+    assert all("rocksdbPutCount" in m for m in run(on_disk=True))
+    _predict(spark, root, "2026-01-08 06:00:00", "B", "2026-01-09 08:00:00")
+    _observe(spark, root, "2026-01-08 08:30:00", "B", "2026-01-08 08:20:00")
+    assert all("rocksdbPutCount" in m for m in run())  # a checkpoint keeps its kind of store
+    _observe(spark, root, "2026-01-20 08:30:00", "C", "2026-01-20 08:20:00")
+    run(on_disk=True)
+    expected = _batch(spark, root)
+    assert expected.count() == 1
+    assert h.rows(read_table(spark, TABLE.path(root)).select(*expected.columns)) == h.rows(expected)
+    assert {key: spark.conf.get(key, None) for key in streams.STATE} == before
+
+
 def test_only_what_a_score_needs_waits_in_state(spark, root):
     """Equal ranks are still decided by whole rows, as in the batch model."""
     _predict(spark, root, "2026-01-05 06:00:00", "A", "2026-01-05 08:00:00")
